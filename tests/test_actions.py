@@ -1,0 +1,213 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import Observation
+
+from tests.helpers import bars, panel, table
+from tickloom.operators import actions as act
+from tickloom.operators.panel import adjusted_price_panel, adjusted_volume_panel
+
+
+def splits(spark, rows):
+    kinds = "symbol string, execution_date string, split_from string, split_to string"
+    return spark.createDataFrame(rows, kinds)
+
+
+def dividends(spark, rows):
+    return spark.createDataFrame(rows, "symbol string, ex_dividend_date string, cash_amount string")
+
+
+def ratios(spark, rows):
+    return spark.createDataFrame(rows, "date date, symbol string, split_ratio double")
+
+
+def cash(spark, rows):
+    return spark.createDataFrame(rows, "date date, symbol string, cash_amount double")
+
+
+def d(day):
+    return date(2024, 1, day)
+
+
+def test_split_table_multiplies_a_day_and_drops_bad_rows(spark):
+    events = splits(
+        spark,
+        [
+            ("A", "2024-01-02", "1", "2"),
+            ("A", "2024-01-02", "1", "4"),
+            ("A", "2024-01-03", "x", "2"),
+            ("A", "2024-01-04", "1", "0"),
+            ("A", "2024-01-05", "-1", "2"),
+            ("B", "2024-01-02", "3", "1"),
+            (None, "2024-01-02", "3", "1"),
+        ],
+    )
+    got = table(act.build_split_ratios(events), "date", "symbol", "split_ratio")
+    assert got == [("2024-01-02", "A", 0.125), ("2024-01-02", "B", 3.0)]
+    ranged = act.build_split_ratios(events, start=d(3), end=d(9))
+    assert ranged.count() == 0
+
+
+def test_bad_dates_fail_the_build(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        act.build_split_ratios(splits(spark, [("A", "soon", "1", "2")])).collect()
+
+
+def test_dividend_table_sums_a_day(spark):
+    events = dividends(
+        spark,
+        [
+            ("A", "2024-01-03", "1.0"),
+            ("A", "2024-01-03", "0.5"),
+            ("A", "2024-01-04", "0"),
+            ("A", "2024-01-05", "x"),
+            ("A", "2024-01-08", "-0.25"),
+        ],
+    )
+    got = table(act.build_cash_dividends(events), "date", "symbol", "cash_amount")
+    assert got == [("2024-01-03", "A", 1.5), ("2024-01-08", "A", -0.25)]
+    assert act.build_cash_dividends(events, start=d(8), end=d(8)).count() == 1
+
+
+def test_table_filter(spark):
+    t = cash(spark, [(d(2), "A", 1.0), (d(3), "B", 1.0), (d(4), "A", 2.0)])
+    got = act.filter_actions(t, d(2), d(3), ["B", "A", "nobody"])
+    assert table(got, "symbol") == [("A",), ("B",)]
+    assert act.filter_actions(t).count() == 3
+
+
+def prices(spark, field="close", values=(100.0, 120.0, 110.0)):
+    return panel(spark, [(f"2024-01-0{i + 1}", "AAA", v) for i, v in enumerate(values)], field)
+
+
+def test_prices_and_volumes_of_a_split_and_a_dividend(spark):
+    r = act.build_split_ratios(splits(spark, [("AAA", "2024-01-02", "1", "2")]))
+    c = act.build_cash_dividends(dividends(spark, [("AAA", "2024-01-03", "1.0")]))
+    step = (120.0 - 1.0) / 120.0
+    got = table(act.apply_price_adjustments(prices(spark), r, c), "timestamp", "close")
+    assert [v for _, v in got] == [100.0 * 0.5 * step, 120.0 * step, 110.0]
+    volumes = prices(spark, "volume", (1000.0, 1200.0, 1100.0))
+    got = table(act.apply_volume_adjustments(volumes, r), "timestamp", "volume")
+    assert [v for _, v in got] == [2000.0, 1200.0, 1100.0]
+
+
+def test_dividend_uses_the_previous_available_close(spark):
+    p = prices(spark, values=(100.0, None, 90.0))
+    got = act.compute_dividend_factors(p, cash(spark, [(d(3), "AAA", 1.0)]))
+    assert [v for _, v in table(got, "timestamp", "dividend_factor")] == [0.99, 0.99, 1.0]
+
+
+def test_first_date_uses_its_own_close(spark):
+    got = act.compute_dividend_factors(prices(spark), cash(spark, [(d(1), "AAA", 1.0)]))
+    # An event on the first date moves no earlier row.
+    assert {v for _, v in table(got, "timestamp", "dividend_factor")} == {1.0}
+    one = act.action_days(prices(spark), "close", None, cash(spark, [(d(1), "AAA", 1.0)]))
+    assert table(act.add_prior_close(one), "date", "prior_close")[0] == ("2024-01-01", 100.0)
+
+
+def test_empty_tables_give_ones(spark):
+    got = act.compute_split_factors(prices(spark), ratios(spark, []))
+    assert {v for _, v in table(got, "timestamp", "split_factor")} == {1.0}
+    got = act.compute_dividend_factors(prices(spark), cash(spark, []))
+    assert {v for _, v in table(got, "timestamp", "dividend_factor")} == {1.0}
+
+
+def test_splits_accumulate_and_invalid_ones_are_ignored(spark):
+    r = ratios(
+        spark,
+        [(d(2), "AAA", 0.5), (d(3), "AAA", 0.25), (d(1), "AAA", 9.0), (d(7), "AAA", 7.0)],
+    )
+    got = act.compute_split_factors(prices(spark), r)
+    assert [v for _, v in table(got, "timestamp", "split_factor")] == [0.125, 0.25, 1.0]
+    bad = ratios(spark, [(d(2), "AAA", -0.5), (d(3), "AAA", float("nan"))])
+    got = act.compute_split_factors(prices(spark), bad)
+    assert {v for _, v in table(got, "timestamp", "split_factor")} == {1.0}
+
+
+def test_oversized_dividends_are_ignored_and_negative_ones_used(spark):
+    c = cash(spark, [(d(2), "AAA", 1e9), (d(3), "AAA", -12.0)])
+    got = act.compute_dividend_factors(prices(spark), c)
+    assert [v for _, v in table(got, "timestamp", "dividend_factor")] == [1.1, 1.1, 1.0]
+    zero = prices(spark, values=(0.0, 5.0, 5.0))
+    got = act.compute_dividend_factors(zero, cash(spark, [(d(2), "AAA", 1.0)]))
+    assert {v for _, v in table(got, "timestamp", "dividend_factor")} == {1.0}
+
+
+def test_counts_of_repaired_actions(spark):
+    r = ratios(spark, [(d(2), "AAA", -0.5), (d(8), "AAA", -0.5)])
+    c = cash(spark, [(d(2), "AAA", 1e9), (d(3), "AAA", -12.0)])
+    counts = act.action_quality(act.action_days(prices(spark), "close", r, c)).first()
+    assert tuple(counts) == (1, 1, 1)
+    seen = Observation("quality")
+    act.apply_price_adjustments(prices(spark), r, c, quality=seen).collect()
+    assert seen.get == {"invalid_splits": 1, "negative_dividends": 1, "invalid_dividends": 1}
+
+
+def test_event_on_another_symbols_date_counts(spark):
+    p = panel(
+        spark,
+        [("2024-01-01", "A", 10.0), ("2024-01-02", "B", 20.0), ("2024-01-03", "A", 5.0)],
+    )
+    got = act.compute_split_factors(p, ratios(spark, [(d(2), "A", 0.5)]))
+    assert table(got, "timestamp", "symbol", "split_factor")[0] == ("2024-01-01 00:00", "A", 0.5)
+
+
+def test_factors_spread_over_the_minutes_of_a_date(spark):
+    p = panel(
+        spark,
+        [("2024-01-02 15:00", "A", 10.0), ("2024-01-02 15:01", "A", 12.0),
+         ("2024-01-03 15:00", "A", 6.0)],
+    )
+    got = act.apply_price_adjustments(
+        p, ratios(spark, [(d(3), "A", 0.5)]), cash(spark, [(d(3), "A", 1.2)])
+    )
+    assert [v for _, v in table(got, "timestamp", "close")] == [
+        10.0 * 0.5 * 0.9, 12.0 * 0.5 * 0.9, 6.0
+    ]
+
+
+def test_field_choice(spark):
+    p = prices(spark).withColumnRenamed("close", "vwap")
+    assert act.price_field_of(p, "close") == "vwap"
+    two = bars(spark, [])
+    with pytest.raises(ValueError, match="price_field is required"):
+        act.compute_split_factors(two, ratios(spark, []))
+    with pytest.raises(ValueError, match="Missing field 'bad'"):
+        act.apply_price_adjustments(two, ratios(spark, []), cash(spark, []), "bad")
+
+
+def test_daily_view_skips_nulls(spark):
+    p = panel(
+        spark,
+        [("2024-01-02 15:00", "A", 10.0), ("2024-01-02 15:01", "A", None),
+         ("2024-01-03 15:00", "A", None)],
+    )
+    assert table(act.daily_last(p, "close"), "date", "px") == [
+        ("2024-01-02", 10.0), ("2024-01-03", None)
+    ]
+
+
+@pytest.mark.parametrize("freq", ["1d", "1min"])
+def test_panel_path_equals_the_general_one(spark, freq):
+    """The fused panel plans and factors over an already built panel agree exactly."""
+    from tickloom.operators.panel import price_panel
+
+    stamps = ["2024-01-02 15:00", "2024-01-02 20:00", "2024-01-03 16:00", "2024-01-05 15:30",
+              "2024-01-08 14:30"]
+    rows = []
+    for i, stamp in enumerate(stamps):
+        rows.append((stamp, "A", *[10.0 + i] * 5, 100 + i, 1))
+        if i % 2:
+            rows.append((stamp, "B", *[None if i == 3 else 50.0 - i] * 5, 10, 1))
+    df = bars(spark, rows)
+    r = ratios(spark, [(d(3), "A", 0.5), (d(5), "B", 3.0), (d(8), "A", 0.25), (d(6), "A", 7.0)])
+    c = cash(spark, [(d(3), "A", 0.7), (d(3), "B", 0.3), (d(8), "B", 0.9), (d(2), "A", 0.1)])
+    args = (freq, ["A", "B"], datetime(2024, 1, 1), datetime(2024, 1, 9))
+    want = act.apply_price_adjustments(price_panel(df, *args), r, c)
+    got = adjusted_price_panel(df, r, c, *args)
+    cols = ("timestamp", "symbol", "close")
+    assert table(got, *cols) == table(want, *cols)
+    want = act.apply_volume_adjustments(price_panel(df, *args, fields=["volume"]), r)
+    got = adjusted_volume_panel(df, r, *args)
+    cols = ("timestamp", "symbol", "volume")
+    assert table(got, *cols) == table(want, *cols)

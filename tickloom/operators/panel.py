@@ -303,18 +303,12 @@ def _minute_panel(rows, req, splits, dividends) -> DataFrame:
     by_time = Window.partitionBy(*keys).orderBy("timestamp")
     upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
     following = F.lead("timestamp").over(by_time)
+    again = F.coalesce(following == F.col("timestamp"), F.lit(False))
     cols = {
         "first": F.lag("timestamp").over(by_time).isNull(),
-        "following": following,
+        "following": _duplicate_guard(following, again, "timestamp"),
+        **{f"held_{f}": F.last(f, ignorenulls=True).over(upto) for f in carried},
     }
-    for f in req.fields:
-        value = F.col(f)
-        if len(req.fields) == 1:
-            again = F.coalesce(following == F.col("timestamp"), F.lit(False))
-            value = _duplicate_guard(value, again, _kind(rows, f))
-        cols[f] = value
-        if f in carried:
-            cols[f"held_{f}"] = F.last(f, ignorenulls=True).over(upto)
     # The windows come before the join: their sort order also serves the merge join.
     spans = days.join(bars.withColumns(cols), keys, "left")
     minute = F.expr("interval 1 minute")
