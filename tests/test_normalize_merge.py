@@ -116,7 +116,7 @@ def test_hot_key_collapses_before_the_shuffle(spark):
     df = spark.range(200_000, numPartitions=4).select(
         F.lit("A").alias("symbol"), F.lit("2024-01-02").alias("execution_date"), F.col("id").alias("v")
     )
-    out = merge.drop_duplicates_keep_first(df, ["symbol", "execution_date"], F.col("v"))
+    out = merge.drop_duplicates_keep_first(df, ["symbol", "execution_date"], "v")
     assert out.collect()[0].v == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "Window" not in plan

@@ -43,37 +43,31 @@ def rank_descending(df: DataFrame, group: str, value: str, tie: str, name: str)
     higher bands is added. Bands are a pure function of the value, so both uses of it
     agree; the band table is bounded by the range of a double, not by the rows. Zeros, the
     one value that can be common, are cut by the first character of the tie column, which
-    follows the tie order.
+    follows the tie order; nulls, which need no order, by a hash of it.
     """
     v = F.col(value)
     magnitude = F.floor(F.log2(F.abs(v)) * 16).cast("bigint")
-    band = (
-        F.when(v > 0, F.struct(F.lit(2).alias("s"), magnitude.alias("m")))
-        .when(v == 0, F.struct(F.lit(1).alias("s"), (-F.ascii(tie)).cast("bigint").alias("m")))
-        .when(v < 0, F.struct(F.lit(0).alias("s"), (-magnitude).alias("m")))
+    sign = F.when(v > 0, 2).when(v == 0, 1).when(v < 0, 0).otherwise(-1)
+    cut = (
+        F.when(v > 0, magnitude)
+        .when(v == 0, -F.ascii(tie))
+        .when(v < 0, -magnitude)
+        .otherwise(F.hash(tie) % 1024)
+        .cast("bigint")
     )
-    banded = df.withColumn("_s", band["s"]).withColumn("_m", band["m"])
-    ranked = banded.where(v.isNotNull())
-    above = Window.partitionBy(group).orderBy(F.col("_s").desc(), F.col("_m").desc())
-    sizes = (
-        ranked.groupBy(group, "_s", "_m")
+    banded = df.withColumns({"_sign": sign, "_cut": cut})
+    band = [group, "_sign", "_cut"]
+    higher = Window.partitionBy(group).orderBy(F.col("_sign").desc(), F.col("_cut").desc())
+    above = F.sum("_rows").over(higher.rowsBetween(Window.unboundedPreceding, -1))
+    bands = (
+        banded.groupBy(*band)
         .agg(F.count("*").alias("_rows"))
-        .withColumn(
-            "_above",
-            F.coalesce(
-                F.sum("_rows").over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
-        )
-        .drop("_rows")
-    )
-    within = Window.partitionBy(group, "_s", "_m").orderBy(v.desc(), F.col(tie))
-    out = (
-        ranked.withColumn("_row", F.row_number().over(within))
-        .join(sizes, [group, "_s", "_m"])
-        .withColumn(name, (F.col("_row") + F.col("_above")).cast("bigint"))
+        .select(*band, F.coalesce(above, F.lit(0)).alias("_above"))
     )
-    unranked = df.where(v.isNull()).withColumn(name, F.lit(None).cast("bigint"))
-    return out.select(*df.columns, name).unionByName(unranked)
+    within = Window.partitionBy(*band).orderBy(v.desc(), F.col(tie))
+    ranked = banded.withColumn("_row", F.row_number().over(within)).join(bands, band)
+    rank = F.when(v.isNotNull(), F.col("_row") + F.col("_above")).cast("bigint")
+    return ranked.select(*df.columns, rank.alias(name))
 
 
 def build_universe(bars: DataFrame, day: Column | str = "date") -> DataFrame:

@@ -106,7 +106,8 @@ def backfill_bars(
     try:
         if found:
             paths = [path for _, path in plan if path is not None]
-            bars = for_symbols(raw.bars_from_files(lake.spark, paths), symbols)
+            bars = raw.bars_from_files(lake.spark, paths, materialize=True)
+            bars = for_symbols(bars, symbols)
             partitions = ingest(lake, bars, freq, write_universe_snapshots).partitions
     except Exception:
         sink.record_days(lake, freq, {led.FAILED: days})

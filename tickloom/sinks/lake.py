@@ -78,12 +78,10 @@ def write_staged_bars(lake: Lake, staged: DataFrame, freq: str) -> list[str]:
     return [f"{part}={value}" for value in touched]
 
 
-def _merge_table(
-    lake: Lake, df: DataFrame, name: str, key: Sequence[str], schema, partition: str | None = None
-) -> str:
+def _merge_table(lake: Lake, df: DataFrame, name: str, key: Sequence[str], schema) -> str:
     unique = drop_duplicates_keep_first(df, key)
     fresh = new_rows(lake.table(name, schema), unique, key)
-    _append(fresh, lake.path(name), partition, list(key))
+    _append(fresh, lake.path(name), None, list(key))
     return lake.path(name)
 
 
@@ -112,15 +110,14 @@ def write_dividends(lake: Lake, df: DataFrame) -> str:
 
 
 def write_universe(lake: Lake, snapshots: DataFrame) -> str:
-    """Merge universe snapshots by symbol within each day."""
-    return _merge_table(
-        lake,
-        snapshots.select(*schemas.UNIVERSE.names),
-        "universe",
-        ["date", "symbol"],
-        schemas.UNIVERSE,
-        partition="date",
-    )
+    """Merge universe snapshots by symbol within each day; only touched days are read."""
+    key = ["date", "symbol"]
+    unique = drop_duplicates_keep_first(snapshots.select(*schemas.UNIVERSE.names), key)
+    staged = stage(unique, "universe")
+    days = [r.date for r in staged.select("date").distinct().collect()]
+    existing = lake.table("universe", schemas.UNIVERSE).where(F.col("date").isin(days))
+    _append(new_rows(existing, staged, key), lake.path("universe"), "date", ["symbol"])
+    return lake.path("universe")
 
 
 def build_split_ratio_table(

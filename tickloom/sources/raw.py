@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import freq_checked
 from tickloom.operators.merge import with_ingest_order
-from tickloom.operators.normalize import normalize_bars
+from tickloom.operators.normalize import normalize_bars, rename_bars
+from tickloom.session import stage
 
 # Dataset folder of each frequency below the vendor's folder.
 DATASETS = {
@@ -134,21 +135,35 @@ def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
         )
     else:
         raw = spark.read.option("mergeSchema", "true").parquet(*paths)
-    return with_source(raw)
+    return with_source(rename_bars(raw), F.col("_metadata.file_path"),
+                       F.col("_metadata.file_block_start"))
 
 
-def with_source(raw: DataFrame) -> DataFrame:
-    """Attach source file, trading day and input order from the scan's metadata."""
-    out = raw.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+def with_source(raw: DataFrame, path: Column, block: Column) -> DataFrame:
+    """Attach source file, trading day and input order."""
+    out = raw.withColumns({SOURCE_FILE: path, "_block": block})
     out = out.withColumn(TRADING_DAY, file_day(SOURCE_FILE))
-    return with_ingest_order(
-        out, F.col(TRADING_DAY), F.col(SOURCE_FILE), F.col("_metadata.file_block_start")
-    )
+    order = [F.col(TRADING_DAY), F.col(SOURCE_FILE), F.col("_block")]
+    return with_ingest_order(out, *order).drop("_block")
+
+
+def bars_from_files(
+    spark: SparkSession, paths: list[str], materialize: bool = False
+) -> DataFrame:
+    """Normalised bars of raw day files, epoch units decided per file.
+
+    The unit needs a first look at every file. With ``materialize`` the parsed rows are
+    staged as Parquet, so that text is decompressed and parsed once and the input order is
+    fixed once; the first look then reads one column of the staged table.
+    """
+    return normalize_scan(scan_files(spark, paths), len(paths), materialize)
 
 
-def bars_from_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Normalised bars of raw day files, epoch units decided per file."""
-    return normalize_bars(scan_files(spark, paths), per=SOURCE_FILE, file_count=len(paths))
+def normalize_scan(raw: DataFrame, file_count: int, materialize: bool) -> DataFrame:
+    """``normalize_bars`` per source file of a scan, optionally staged before."""
+    if materialize:
+        raw = stage(raw, "raw")
+    return normalize_bars(raw, per=SOURCE_FILE, file_count=file_count)
 
 
 def fetch_day(

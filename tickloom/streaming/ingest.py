@@ -16,13 +16,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.functions import calendar as cal
 from tickloom.functions.scalars import freq_checked
 from tickloom.operators import ledger as led
-from tickloom.operators.merge import with_ingest_order
-from tickloom.operators.normalize import normalize_bars
+from tickloom.operators.normalize import canonical_names
 from tickloom.plans.jobs import RawSource, ingest
 from tickloom.sinks import lake as sink
 from tickloom.sources import raw
 from tickloom.sources.lake import Lake, load_ledger
 
+_PATH, _BLOCK = "_path", "_start"
+
 
 def stream_bars(
     lake: Lake,
@@ -54,8 +55,8 @@ def stream_bars(
         _ingest_batch(lake, batch, freq, write_universe_snapshots, max_files_per_trigger)
 
     return (
-        files.withColumn(raw.SOURCE_FILE, F.col("_metadata.file_path"))
-        .withColumn("_block", F.col("_metadata.file_block_start"))
+        files.select("*", F.col("_metadata.file_path").alias(_PATH),
+                     F.col("_metadata.file_block_start").alias(_BLOCK))
         .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -66,12 +67,12 @@ def stream_bars(
 def _ingest_batch(
     lake: Lake, batch: DataFrame, freq: str, snapshots: bool, file_count: int
 ) -> None:
-    dated = batch.withColumn(raw.TRADING_DAY, raw.file_day(raw.SOURCE_FILE))
-    dated = dated.where(cal.is_session(raw.TRADING_DAY))
-    ordered = with_ingest_order(
-        dated, F.col(raw.TRADING_DAY), F.col(raw.SOURCE_FILE), F.col("_block")
-    ).drop("_block")
-    bars = normalize_bars(ordered, per=raw.SOURCE_FILE, file_count=file_count)
+    vendor = [c for c in batch.columns if c not in (_PATH, _BLOCK)]
+    names = dict(zip(vendor, canonical_names(vendor), strict=True))
+    renamed = batch.toDF(*[names.get(c, c) for c in batch.columns])
+    rows = raw.with_source(renamed, F.col(_PATH), F.col(_BLOCK)).drop(_PATH, _BLOCK)
+    rows = rows.where(cal.is_session(raw.TRADING_DAY))
+    bars = raw.normalize_scan(rows, file_count, materialize=True)
     staged = ingest(lake, bars, freq, snapshots).staged
     days = staged.select(F.col(raw.TRADING_DAY).alias("date")).distinct()
     fresh = led.missing_days(days, load_ledger(lake), freq)
