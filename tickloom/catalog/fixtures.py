@@ -19,33 +19,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _symbol(key: str):
-    return F.concat(F.lit("S"), (F.col(key) % 10).cast("string"))
-
-
-def _as_double(total):
-    """Exact decimal sum as a double, so that the order of addition cannot matter."""
-    return F.sum(total.cast("decimal(18,2)")).cast("double")
+def _view(spark: SparkSession, sf_dir: str, name: str, query: str) -> DataFrame:
+    """A query over one test table, written as ``{t}``."""
+    return spark.sql(query, t=table(spark, sf_dir, name))
 
 
 def bars_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars: ship date by supplier group; price is the unit price."""
-    price = F.col("l_extendedprice") / F.col("l_quantity")
-    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_shipdate").cast("timestamp").alias("timestamp"),
-                 _symbol("l_suppkey").alias("symbol"))
-        .agg(
-            F.min_by(price, order).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max_by(price, order).alias("close"),
-            (_as_double(F.col("l_extendedprice")) / F.sum("l_quantity")).alias("vwap"),
-            F.sum("l_quantity").cast("bigint").alias("volume"),
-            F.count("*").alias("n_trades"),
-        )
-    )
+    """Daily bars: ship date by supplier group; price is the unit price.
+
+    Sums are taken over decimals, so that the order of addition cannot matter.
+    """
+    return _view(spark, sf_dir, "lineitem", """
+        SELECT CAST(l_shipdate AS TIMESTAMP) AS timestamp,
+          concat('S', CAST(l_suppkey % 10 AS STRING)) AS symbol,
+          min_by(l_extendedprice / l_quantity, struct(
+            l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice)) AS open,
+          max(l_extendedprice / l_quantity) AS high,
+          min(l_extendedprice / l_quantity) AS low,
+          max_by(l_extendedprice / l_quantity, struct(
+            l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice)) AS close,
+          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / sum(l_quantity) AS vwap,
+          CAST(sum(l_quantity) AS BIGINT) AS volume,
+          count(*) AS n_trades
+        FROM {t} GROUP BY l_shipdate, l_suppkey % 10""")
 
 
 def bars_1min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,56 +55,36 @@ def bars_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_bars(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
-    order = F.struct("ts", "event_id")
-    return (
-        table(spark, sf_dir, "events")
-        .groupBy(
-            F.date_trunc(unit, "ts").cast("timestamp").alias("timestamp"),
-            F.col("event_type").alias("symbol"),
-        )
-        .agg(
-            F.min_by("value", order).alias("open"),
-            F.max("value").alias("high"),
-            F.min("value").alias("low"),
-            F.max_by("value", order).alias("close"),
-            (_as_double(F.col("value")) / F.count("*")).alias("vwap"),
-            F.sum(1 + F.col("user_id") % 7).cast("bigint").alias("volume"),
-            F.count("*").alias("n_trades"),
-        )
-    )
+    return _view(spark, sf_dir, "events", f"""
+        SELECT CAST(date_trunc('{unit}', ts) AS TIMESTAMP) AS timestamp, event_type AS symbol,
+          min_by(value, struct(ts, event_id)) AS open,
+          max(value) AS high,
+          min(value) AS low,
+          max_by(value, struct(ts, event_id)) AS close,
+          CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS vwap,
+          CAST(sum(1 + user_id % 7) AS BIGINT) AS volume,
+          count(*) AS n_trades
+        FROM {{t}} GROUP BY date_trunc('{unit}', ts), event_type""")
 
 
 def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split events of the daily symbols; some off the panel dates, some sharing a day."""
-    return (
-        table(spark, sf_dir, "orders")
-        .where(F.col("o_orderkey") % 37 == 0)
-        .select(
-            F.col("o_orderkey").alias("event_id"),
-            _symbol("o_custkey").alias("symbol"),
-            F.col("o_orderdate").cast("date").cast("string").alias("execution_date"),
-            (1 + F.col("o_orderkey") % 5).cast("double").alias("split_from"),
-            F.expr("1 + (o_orderkey div 5) % 5").cast("double").alias("split_to"),
-        )
-    )
+    return _view(spark, sf_dir, "orders", """
+        SELECT o_orderkey AS event_id, concat('S', CAST(o_custkey % 10 AS STRING)) AS symbol,
+          CAST(CAST(o_orderdate AS DATE) AS STRING) AS execution_date,
+          CAST(1 + o_orderkey % 5 AS DOUBLE) AS split_from,
+          CAST(1 + (o_orderkey div 5) % 5 AS DOUBLE) AS split_to
+        FROM {t} WHERE o_orderkey % 37 = 0""")
 
 
 def dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dividend events of the daily symbols, zero amounts included."""
-    key = F.col("o_orderkey")
-    return (
-        table(spark, sf_dir, "orders")
-        .where(key % 11 == 0)
-        .select(
-            key.alias("event_id"),
-            _symbol("o_custkey").alias("symbol"),
-            F.col("o_orderdate").cast("date").cast("string").alias("ex_dividend_date"),
-            F.when(key % 143 == 0, 0.0)
-            .otherwise((1 + key % 400) / 100.0)
-            .cast("double")
-            .alias("cash_amount"),
-        )
-    )
+    return _view(spark, sf_dir, "orders", """
+        SELECT o_orderkey AS event_id, concat('S', CAST(o_custkey % 10 AS STRING)) AS symbol,
+          CAST(CAST(o_orderdate AS DATE) AS STRING) AS ex_dividend_date,
+          CAST(CASE WHEN o_orderkey % 143 = 0 THEN 0
+            ELSE (1 + o_orderkey % 400) / 100.0 END AS DOUBLE) AS cash_amount
+        FROM {t} WHERE o_orderkey % 11 = 0""")
 
 
 def dirty_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,35 +113,27 @@ def dirty_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _minute_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").select(
-        key,
-        F.element_at(F.lit(MINUTE_SYMBOLS), (key % 5 + 1).cast("int")).alias("symbol"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (key * 7 % 30).cast("int"))
-        .cast("string")
-        .alias("day"),
-    )
+_MINUTE_EVENT = """
+    element_at(array('click', 'error', 'purchase', 'signup', 'view'),
+      CAST(s_suppkey % 5 + 1 AS INT)) AS symbol,
+    CAST(date_add(DATE'2024-01-01', CAST(s_suppkey * 7 % 30 AS INT)) AS STRING)"""
 
 
 def minute_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split events of the minute symbols; ratios are powers of two, so products are exact."""
-    return _minute_event(spark, sf_dir).select(
-        "symbol",
-        F.col("day").alias("execution_date"),
-        F.expr("cast(shiftleft(1, cast(s_suppkey % 3 as int)) as double)").alias("split_from"),
-        F.expr("cast(shiftleft(1, cast(s_suppkey div 3 % 3 as int)) as double)")
-        .alias("split_to"),
-    )
+    return _view(spark, sf_dir, "supplier", f"""
+        SELECT {_MINUTE_EVENT} AS execution_date,
+          CAST(shiftleft(1, CAST(s_suppkey % 3 AS INT)) AS DOUBLE) AS split_from,
+          CAST(shiftleft(1, CAST((s_suppkey div 3) % 3 AS INT)) AS DOUBLE) AS split_to
+        FROM {{t}}""")
 
 
 def minute_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dividend events of the minute symbols in quarters, so sums are exact."""
-    return _minute_event(spark, sf_dir).select(
-        "symbol",
-        F.col("day").alias("ex_dividend_date"),
-        (F.col("s_suppkey") % 9 / 4.0).cast("double").alias("cash_amount"),
-    )
+    return _view(spark, sf_dir, "supplier", f"""
+        SELECT {_MINUTE_EVENT} AS ex_dividend_date,
+          CAST(s_suppkey % 9 / 4.0 AS DOUBLE) AS cash_amount
+        FROM {{t}}""")
 
 
 def security_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,15 +153,12 @@ def security_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger events: every order is one event, its key the order of appends."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("seq"),
-        F.col("o_orderdate").cast("date").alias("date"),
-        F.when(F.col("o_orderkey") % 2 == 0, "1d").otherwise("1min").alias("freq"),
-        F.when(F.col("o_orderstatus") == "F", "complete")
-        .when(F.col("o_orderstatus") == "O", "started")
-        .otherwise("failed")
-        .alias("status"),
-    )
+    return _view(spark, sf_dir, "orders", """
+        SELECT o_orderkey AS seq, CAST(o_orderdate AS DATE) AS date,
+          CASE WHEN o_orderkey % 2 = 0 THEN '1d' ELSE '1min' END AS freq,
+          CASE o_orderstatus WHEN 'F' THEN 'complete' WHEN 'O' THEN 'started'
+            ELSE 'failed' END AS status
+        FROM {t}""")
 
 
 def raw_bars(bars: DataFrame) -> DataFrame:
