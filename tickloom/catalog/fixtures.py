@@ -68,23 +68,26 @@ def _event_bars(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
 
 
 def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Split events of the daily symbols; some off the panel dates, some sharing a day."""
+    """Split events of the daily symbols, one per order; many share a day.
+
+    Ratios are powers of two, so a day's product does not depend on the order of events.
+    """
     return _view(spark, sf_dir, "orders", """
         SELECT o_orderkey AS event_id, concat('S', CAST(o_custkey % 10 AS STRING)) AS symbol,
           CAST(CAST(o_orderdate AS DATE) AS STRING) AS execution_date,
-          CAST(1 + o_orderkey % 5 AS DOUBLE) AS split_from,
-          CAST(1 + (o_orderkey div 5) % 5 AS DOUBLE) AS split_to
-        FROM {t} WHERE o_orderkey % 37 = 0""")
+          CAST(shiftleft(1, CAST(o_orderkey % 3 AS INT)) AS DOUBLE) AS split_from,
+          CAST(shiftleft(1, CAST((o_orderkey div 3) % 3 AS INT)) AS DOUBLE) AS split_to
+        FROM {t}""")
 
 
 def dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dividend events of the daily symbols, zero amounts included."""
+    """Dividend events of the daily symbols, one per order, in quarters (so that sums are
+    exact), zero amounts included."""
     return _view(spark, sf_dir, "orders", """
         SELECT o_orderkey AS event_id, concat('S', CAST(o_custkey % 10 AS STRING)) AS symbol,
           CAST(CAST(o_orderdate AS DATE) AS STRING) AS ex_dividend_date,
-          CAST(CASE WHEN o_orderkey % 143 = 0 THEN 0
-            ELSE (1 + o_orderkey % 400) / 100.0 END AS DOUBLE) AS cash_amount
-        FROM {t} WHERE o_orderkey % 11 = 0""")
+          CAST(o_orderkey % 41 / 4.0 AS DOUBLE) AS cash_amount
+        FROM {t}""")
 
 
 def dirty_splits(spark: SparkSession, sf_dir: str) -> DataFrame:

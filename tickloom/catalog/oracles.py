@@ -73,9 +73,8 @@ SPLITS = """
 splits AS (
   SELECT o_orderkey AS event_id, concat('S', CAST(o_custkey % 10 AS VARCHAR)) AS symbol,
     CAST(o_orderdate AS DATE) AS date,
-    CAST(1 + o_orderkey % 5 AS DOUBLE) AS split_from,
-    CAST(1 + CAST(floor(o_orderkey / 5) AS BIGINT) % 5 AS DOUBLE) AS split_to
-  FROM orders WHERE o_orderkey % 37 = 0
+    pow(2, o_orderkey % 3) AS split_from, pow(2, (o_orderkey // 3) % 3) AS split_to
+  FROM orders
 ),
 ratios AS (
   SELECT date, symbol, product(split_from / split_to) AS split_ratio
@@ -86,9 +85,8 @@ DIVIDENDS = """
 dividends AS (
   SELECT o_orderkey AS event_id, concat('S', CAST(o_custkey % 10 AS VARCHAR)) AS symbol,
     CAST(o_orderdate AS DATE) AS date,
-    CAST(CASE WHEN o_orderkey % 143 = 0 THEN 0 ELSE (1 + o_orderkey % 400) / 100.0 END
-      AS DOUBLE) AS cash_amount
-  FROM orders WHERE o_orderkey % 11 = 0
+    CAST(o_orderkey % 41 / 4.0 AS DOUBLE) AS cash_amount
+  FROM orders
 ),
 cash AS (
   SELECT date, symbol, sum(cash_amount) AS cash_amount
