@@ -141,6 +141,16 @@ def test_counts_of_repaired_actions(spark):
     seen = Observation("quality")
     act.apply_price_adjustments(prices(spark), r, c, quality=seen).collect()
     assert seen.get == {"invalid_splits": 1, "negative_dividends": 1, "invalid_dividends": 1}
+    wide = bars(spark, [(f"2024-01-0{i} 15:00", "AAA", *[v] * 5, 1, 1)
+                        for i, v in ((2, 100.0), (3, 120.0), (4, 110.0))])
+    r = ratios(spark, [(d(3), "AAA", -0.5), (d(9), "AAA", -0.5)])
+    c = cash(spark, [(d(3), "AAA", 1e9), (d(4), "AAA", -12.0)])
+    for freq in ("1d", "1min"):
+        seen = Observation()
+        adjusted_price_panel(
+            wide, r, c, freq, ["AAA"], datetime(2024, 1, 1), datetime(2024, 1, 5), quality=seen
+        ).collect()
+        assert seen.get == {"invalid_splits": 1, "negative_dividends": 1, "invalid_dividends": 1}
 
 
 def test_event_on_another_symbols_date_counts(spark):

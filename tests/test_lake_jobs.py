@@ -133,6 +133,8 @@ def test_prices_from_the_lake(spark, lake):
     got = table(load_adjusted_volumes(*args), "timestamp", "volume")
     assert [v for _, v in got] == [2000.0, 1200.0, 1100.0]
     assert table(load_prices(*args), "close") == [(100.0,), (110.0,), (120.0,)]
+    whole = load_prices(lake, "1d", ["AAA"], date(2024, 1, 2), date(2024, 1, 3))
+    assert table(whole, "close") == [(100.0,), (120.0,)]
     # An earlier end of the range drops the later dividend from the adjustment.
     early = load_adjusted_prices(*args[:4], datetime(2024, 1, 3, 12))
     assert [v for _, v in table(early, "timestamp", "close")] == [50.0, 120.0]
@@ -216,6 +218,15 @@ def test_backfill_takes_every_missing_day_in_one_run(spark, lake):
     assert backfill(lake) == jobs.BackfillResult([], [], [], [])
 
 
+def test_backfill_in_several_runs(lake):
+    for day in (2, 3, 4, 5):
+        day_file(lake, day, [row("A", day, float(day))])
+    done = backfill(lake, days_per_run=3)
+    assert len(done.ingested) == 4 and done.partitions == ["year=2024"]
+    assert src.scan_bars(lake, "1d").count() == 4
+    assert src.load_ledger(lake).where("status = 'complete'").count() == 4
+
+
 def test_backfill_of_some_symbols(lake):
     day_file(lake, 2, [row("A", 2, 1.0), row("B", 2, 2.0)])
     backfill(lake, symbols=["B"])

@@ -202,17 +202,22 @@ def action_days(
 
 def action_quality(days: DataFrame) -> DataFrame:
     """One row of counts of repaired or suspicious actions on day rows."""
-    cash = F.col("cash_amount")
-    return add_prior_close(days).agg(*_quality_counts(cash, F.col("prior_close")))
+    return add_prior_close(days).agg(*quality_counts())
 
 
-def _quality_counts(cash: Column, prior: Column) -> list[Column]:
-    ratio = not_nan(F.col("split_ratio"))
-    # A NaN ratio is treated as absent: the reindexed table has 1.0 there.
+def quality_counts(where: Column | None = None) -> list[Column]:
+    """Counts over rows with ``split_ratio``, ``cash_amount`` and ``prior_close``.
+
+    A NaN ratio counts as absent, as it does in the factors.
+    """
+    where = F.lit(True) if where is None else where
+    ratio, cash = not_nan(F.col("split_ratio")), F.col("cash_amount")
     return [
-        F.count_if(ratio <= 0).alias("invalid_splits"),
-        F.count_if(cash < 0).alias("negative_dividends"),
-        F.count_if(invalid_dividend(cash, prior)).alias("invalid_dividends"),
+        F.count_if(where & (ratio <= 0)).alias("invalid_splits"),
+        F.count_if(where & (cash < 0)).alias("negative_dividends"),
+        F.count_if(where & invalid_dividend(cash, F.col("prior_close"))).alias(
+            "invalid_dividends"
+        ),
     ]
 
 
@@ -250,8 +255,7 @@ def apply_price_adjustments(
     field = price_field_of(prices, price_field)
     days = add_prior_close(action_days(prices, field, split_ratios, cash_dividends))
     if quality is not None:
-        days = days.observe(quality, *_quality_counts(F.col("cash_amount"),
-                                                      F.col("prior_close")))
+        days = days.observe(quality, *quality_counts())
     days = add_factors(days)
     adjusted = F.col(field) * F.col("split_factor") * F.col("dividend_factor")
     return _spread(prices, days, ["split_factor", "dividend_factor"]).select(

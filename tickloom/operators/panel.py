@@ -16,9 +16,9 @@ same number of rows, so windows by symbol are balanced by construction.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import calendar as cal
@@ -63,7 +63,8 @@ def panel_request(
     fill_missing_bars: bool = True,
     closed: str = "left",
 ) -> PanelRequest:
-    """Check the arguments; naive datetimes are taken as UTC."""
+    """Check the arguments; naive datetimes are taken as UTC, and a plain date as end means
+    the whole of that day."""
     if not symbols:
         raise ValueError("symbols must be a non-empty list")
     freq_checked(freq)
@@ -74,14 +75,18 @@ def panel_request(
     return PanelRequest(
         freq,
         tuple(sorted(set(symbols))),
-        to_utc(start),
-        to_utc(end),
+        to_utc(_whole_day(start, time.min)),
+        to_utc(_whole_day(end, time.max)),
         tuple(dict.fromkeys(fields)),
         fill_missing_bars,
         closed,
     )
 
 
+def _whole_day(value: datetime | date, edge: time) -> datetime:
+    return value if isinstance(value, datetime) else datetime.combine(value, edge)
+
+
 def requested_rows(bars: DataFrame, req: PanelRequest) -> DataFrame:
     """Project and filter; both conditions reach the Parquet scan. NaN counts as missing."""
     values = [
@@ -127,10 +132,14 @@ def adjusted_price_panel(
     start: datetime,
     end: datetime,
     price_field: str = "close",
+    quality: Observation | None = None,
 ) -> DataFrame:
-    """Filled prices x split factor x dividend factor, relative to the end of the range."""
+    """Filled prices x split factor x dividend factor, relative to the end of the range.
+
+    ``quality`` receives the counts of repaired actions once the plan has run.
+    """
     req = panel_request(freq, symbols, start, end, [price_field])
-    panel = _build(bars, req, split_ratios, cash_dividends)
+    panel = _build(bars, req, split_ratios, cash_dividends, quality)
     adjusted = F.col(price_field) * F.col("split_factor") * F.col("dividend_factor")
     return panel.select("timestamp", "symbol", adjusted.alias(price_field))
 
@@ -156,10 +165,11 @@ def _build(
     req: PanelRequest,
     splits: DataFrame | None = None,
     dividends: DataFrame | None = None,
+    quality: Observation | None = None,
 ) -> DataFrame:
     require_utc(bars.sparkSession)
     build = _minute_panel if req.freq == "1min" else _daily_panel
-    return build(requested_rows(bars, req), req, splits, dividends)
+    return build(requested_rows(bars, req), req, splits, dividends, quality)
 
 
 def _actions_asked(req: PanelRequest, splits, dividends) -> list[tuple[DataFrame, str]]:
@@ -188,7 +198,7 @@ def _kind(rows: DataFrame, field: str) -> str:
 # ---------------------------------------------------------------- daily
 
 
-def _daily_panel(rows, req, splits, dividends) -> DataFrame:
+def _daily_panel(rows, req, splits, dividends, quality) -> DataFrame:
     if len(req.fields) > 1:
         rows = _averaged(rows, ["timestamp", "symbol"], req.fields)
     # Every observed timestamp for every asked symbol; the list is part of the request.
@@ -223,10 +233,10 @@ def _daily_panel(rows, req, splits, dividends) -> DataFrame:
                 for f in req.fields
             }
         )
-    return _daily_factors(panel, req.fields[0], asked, by_time) if asked else panel
+    return _daily_factors(panel, req.fields[0], asked, by_time, quality) if asked else panel
 
 
-def _daily_factors(panel, field, asked, by_time) -> DataFrame:
+def _daily_factors(panel, field, asked, by_time, quality) -> DataFrame:
     """Backward factors on the dense panel itself: the panel is already partitioned by
     symbol, so frames over the date replace a day table and a join back.
 
@@ -255,6 +265,8 @@ def _daily_factors(panel, field, asked, by_time) -> DataFrame:
             ),
         )
         steps["dividend_factor"] = act.dividend_step(F.col("cash_amount"), F.col("prior_close"))
+    if quality is not None:
+        panel = panel.observe(quality, *act.quality_counts(F.col("first_of_day")))
     once = {
         name: F.when(F.col("first_of_day"), step).otherwise(F.lit(1.0))
         for name, step in steps.items()
@@ -268,7 +280,7 @@ def _daily_factors(panel, field, asked, by_time) -> DataFrame:
 # ---------------------------------------------------------------- minutes
 
 
-def _minute_panel(rows, req, splits, dividends) -> DataFrame:
+def _minute_panel(rows, req, splits, dividends, quality) -> DataFrame:
     keys = ["symbol", "date"]
     bars = _on_session_grid(rows, req)
     # One exchange serves the day summary and the fill.
@@ -297,6 +309,8 @@ def _minute_panel(rows, req, splits, dividends) -> DataFrame:
     names = [col for _, col in asked]
     if "cash_amount" in names:
         days = act.add_prior_close(days.withColumn("px", F.col(f"day_{req.fields[0]}")))
+    if quality is not None:
+        days = days.observe(quality, *act.quality_counts())
     if names:
         days = act.add_factors(days, "split_ratio" in names, "cash_amount" in names)
 

@@ -83,44 +83,60 @@ def backfill_bars(
     symbols: list[str] | None = None,
     write_universe_snapshots: bool = False,
     fail_fast: bool = False,
+    days_per_run: int | None = None,
 ) -> BackfillResult:
     """Ingest every session in the range that was never completed.
 
     A day without a raw file is logged as failed; with ``fail_fast`` later days are left
     alone and the run ends with an error. An error while reading or writing marks every
-    day of the run as failed and is raised.
+    day of the run as failed and is raised. ``days_per_run`` cuts a long history into
+    several runs, which bounds the staged data and what an error has to repeat.
     """
     plan = planned_files(lake, source, start, end, freq_checked(freq))
     absent = sorted({d for d, path in plan if path is None})
     if fail_fast and absent:
         plan = [(d, path) for d, path in plan if d <= absent[0]]
         absent = absent[:1]
-    found = sorted({d for d, path in plan if path is not None})
     planned = sorted({d for d, _ in plan})
-    days = _days_frame(lake, planned)
-    if not planned:
-        return BackfillResult([], [], [], [])
+    partitions: list[str] = []
+    step = days_per_run or max(len(planned), 1)
+    for i in range(0, len(planned), step):
+        part = set(planned[i : i + step])
+        run = [(d, path) for d, path in plan if d in part]
+        partitions += _backfill_run(lake, run, freq, symbols, write_universe_snapshots)
+    if fail_fast and absent:
+        raise FileNotFoundError(f"Missing flat file for {absent[0]} ({freq})")
+    found = [d for d in planned if d not in set(absent)]
+    return BackfillResult(planned, found, absent, sorted(set(partitions)))
 
+
+def _backfill_run(
+    lake: Lake,
+    plan: list[tuple[date, str | None]],
+    freq: str,
+    symbols: list[str] | None,
+    snapshots: bool,
+) -> list[str]:
+    days = _days_frame(lake, {d for d, _ in plan})
+    found = _days_frame(lake, {d for d, path in plan if path is not None})
+    absent = _days_frame(lake, {d for d, path in plan if path is None})
+    paths = [path for _, path in plan if path is not None]
     partitions: list[str] = []
     sink.record_days(lake, freq, {led.STARTED: days})
     try:
-        if found:
-            paths = [path for _, path in plan if path is not None]
+        if paths:
             bars = raw.bars_from_files(lake.spark, paths, materialize=True)
             bars = for_symbols(bars, symbols)
-            partitions = ingest(lake, bars, freq, write_universe_snapshots).partitions
+            partitions = ingest(lake, bars, freq, snapshots).partitions
     except Exception:
         sink.record_days(lake, freq, {led.FAILED: days})
         raise
-    outcome = {led.COMPLETE: _days_frame(lake, found), led.FAILED: _days_frame(lake, absent)}
-    sink.record_days(lake, freq, outcome)
-    if fail_fast and absent:
-        raise FileNotFoundError(f"Missing flat file for {absent[0]} ({freq})")
-    return BackfillResult(planned, found, absent, partitions)
+    sink.record_days(lake, freq, {led.COMPLETE: found, led.FAILED: absent})
+    return partitions
 
 
-def _days_frame(lake: Lake, days: list[date]) -> DataFrame:
-    return lake.spark.createDataFrame([(d,) for d in days], "date date")
+def _days_frame(lake: Lake, days: set[date]) -> DataFrame:
+    return lake.spark.createDataFrame([(d,) for d in sorted(days)], "date date")
 
 
 def ingest(lake: Lake, bars: DataFrame, freq: str, snapshots: bool) -> IngestedBars:
@@ -173,6 +189,7 @@ def run_incremental_update(
     write_universe: bool = True,
     reference: ReferenceSource | None = None,
     fail_fast: bool = False,
+    days_per_run: int | None = None,
 ) -> DataFrame:
     """Bring the lake up to the last session before today (or ``end``).
 
@@ -203,6 +220,7 @@ def run_incremental_update(
             freq,
             write_universe_snapshots=write_universe and freq == "1d",
             fail_fast=fail_fast,
+            days_per_run=days_per_run,
         )
         results.append(
             (

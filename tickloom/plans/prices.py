@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
-from tickloom.functions.scalars import utc_date
 from tickloom.operators import panel, universe
-from tickloom.operators.panel import panel_request
+from tickloom.operators.panel import PanelRequest, panel_request
 from tickloom.sources.lake import (
     Lake,
     load_dividend_cash_table,
@@ -34,12 +33,13 @@ def load_prices(
     req = panel_request(freq, symbols, start, end, fields, fill_missing_bars)
     bars = scan_bars(lake, freq, req.start, req.end)
     return panel.price_panel(
-        bars, freq, list(req.symbols), start, end, list(req.fields), fill_missing_bars
+        bars, freq, symbols, req.start, req.end, list(req.fields), fill_missing_bars
     )
 
 
-def _actions(loader, lake: Lake, symbols, start, end) -> DataFrame:
-    return loader(lake, start=utc_date(start), end=utc_date(end), symbols=symbols)
+def _actions(loader, lake: Lake, req: PanelRequest) -> DataFrame:
+    start, end = req.days
+    return loader(lake, start=start, end=end, symbols=list(req.symbols))
 
 
 def load_adjusted_prices(
@@ -49,18 +49,20 @@ def load_adjusted_prices(
     start: datetime,
     end: datetime,
     price_field: str = "close",
+    quality: Observation | None = None,
 ) -> DataFrame:
     """Split- and dividend-adjusted prices, relative to the end of the range."""
-    panel_request(freq, symbols, start, end, [price_field])
+    req = panel_request(freq, symbols, start, end, [price_field])
     return panel.adjusted_price_panel(
-        scan_bars(lake, freq, start, end),
-        _actions(load_split_ratio_table, lake, symbols, start, end),
-        _actions(load_dividend_cash_table, lake, symbols, start, end),
+        scan_bars(lake, freq, req.start, req.end),
+        _actions(load_split_ratio_table, lake, req),
+        _actions(load_dividend_cash_table, lake, req),
         freq,
         symbols,
-        start,
-        end,
+        req.start,
+        req.end,
         price_field,
+        quality,
     )
 
 
@@ -73,14 +75,14 @@ def load_adjusted_volumes(
     volume_field: str = "volume",
 ) -> DataFrame:
     """Split-adjusted volumes, relative to the end of the range."""
-    panel_request(freq, symbols, start, end, [volume_field])
+    req = panel_request(freq, symbols, start, end, [volume_field])
     return panel.adjusted_volume_panel(
-        scan_bars(lake, freq, start, end),
-        _actions(load_split_ratio_table, lake, symbols, start, end),
+        scan_bars(lake, freq, req.start, req.end),
+        _actions(load_split_ratio_table, lake, req),
         freq,
         symbols,
-        start,
-        end,
+        req.start,
+        req.end,
         volume_field,
     )
 
