@@ -15,10 +15,10 @@ from tickloom.operators.panel import (
     to_wide,
 )
 from tickloom.operators.sessions import (
-    previous_n_trading_days,
-    trading_days,
-    trading_minutes,
+    previous_n_trading_days as get_previous_n_trading_days,
 )
+from tickloom.operators.sessions import trading_days as get_trading_days
+from tickloom.operators.sessions import trading_minutes as get_trading_minutes
 from tickloom.operators.universe import build_universe
 from tickloom.plans.jobs import (
     RawSource,
@@ -69,6 +69,9 @@ __all__ = [
     "build_universe",
     "compute_dividend_factors",
     "compute_split_factors",
+    "get_previous_n_trading_days",
+    "get_trading_days",
+    "get_trading_minutes",
     "get_universe",
     "load_adjusted_prices",
     "load_adjusted_volumes",
@@ -77,14 +80,11 @@ __all__ = [
     "load_security_master",
     "load_split_ratio_table",
     "load_universe_snapshot",
-    "previous_n_trading_days",
     "price_panel",
     "run_incremental_update",
     "sync_corporate_actions",
     "sync_security_master",
     "to_wide",
-    "trading_days",
-    "trading_minutes",
     "write_bars",
     "write_dividends",
     "write_security_master",

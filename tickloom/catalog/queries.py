@@ -366,7 +366,7 @@ def ledger_is_complete(spark, sf_dir):
 
 @query
 def ledger_missing(spark, sf_dir):
-    days = sessions.trading_days(spark, date(1995, 1, 1), date(2001, 8, 1))
+    days = sessions.sessions(spark, date(1995, 1, 1), date(2001, 8, 1)).select("date")
     return ledger.missing_days(days, fx.ledger(spark, sf_dir), "1min")
 
 

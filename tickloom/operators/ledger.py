@@ -31,9 +31,10 @@ def is_complete(ledger: DataFrame, day: date, freq: str) -> bool:
 
 
 def missing_days(days: DataFrame, ledger: DataFrame, freq: str) -> DataFrame:
-    """Days never completed for a frequency; any complete event counts, not only the last."""
+    """Days never completed for a frequency, ascending; any complete event counts, not only
+    the last one."""
     done = ledger.where((F.col("freq") == freq) & (F.col("status") == COMPLETE))
-    return days.join(done.select("date"), "date", "left_anti")
+    return days.join(done.select("date"), "date", "left_anti").orderBy("date")
 
 
 def latest_complete(ledger: DataFrame) -> DataFrame:
@@ -95,8 +96,8 @@ def update_windows(
         lost = report.where(F.col("status") == "needs-start").select("freq").collect()
         if lost:
             raise ValueError(
-                f"No completed ingestion found for freq={lost[0].freq}. "
-                "Pass --start YYYY-MM-DD for the first update."
+                f"No complete day in the ledger for freq={lost[0].freq}. "
+                "Pass --start (fallback_start) for the first update."
             )
     return report.where(F.col("status") == "update").drop("status")
 
@@ -115,7 +116,7 @@ def gap_report(ledger: DataFrame, freq: str, end: date) -> DataFrame:
         .first()
     )
     first = row.d if row.d is not None else end
-    return missing_days(ses.trading_days(spark, first, end), ledger, freq)
+    return missing_days(ses.sessions(spark, first, end).select("date"), ledger, freq)
 
 
 def ledger_rows(events: DataFrame, freq: str, base_seq: int) -> DataFrame:

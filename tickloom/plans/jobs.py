@@ -68,7 +68,7 @@ def planned_files(
 
     Collected, because a scan takes its paths from the driver: one row per file of a day.
     """
-    days = sessions.trading_days(lake.spark, start, end)
+    days = sessions.sessions(lake.spark, start, end).select("date")
     missing = led.missing_days(days, load_ledger(lake), freq)
     rows = missing.join(source.files(lake, freq), "date", "left").select("date", "path")
     return sorted(((r.date, r.path) for r in rows.collect()), key=lambda r: (r[0], r[1] or ""))
