@@ -180,7 +180,8 @@ def raw_bars(bars: DataFrame) -> DataFrame:
 
 def land_raw_files(bars: DataFrame, root: str) -> None:
     """Write raw day files (gzip CSV with header), one folder per UTC date of the bars."""
-    raw = raw_bars(bars).withColumn("day", F.to_date(F.expr("timestamp_micros(window_start div 1000)")))
+    day = F.expr("to_date(timestamp_micros(window_start div 1000))")
+    raw = raw_bars(bars).withColumn("day", day)
     (
         raw.repartition("day")
         .sortWithinPartitions("day", "window_start", "ticker")

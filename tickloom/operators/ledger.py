@@ -125,7 +125,7 @@ def ledger_rows(events: DataFrame, freq: str, base_seq: int) -> DataFrame:
     Numbers need no window over the batch: they follow from the day and the status, so a
     day's events keep their order and days ascend. Gaps in the numbering are harmless.
     """
-    order = F.coalesce(F.array_position(F.lit([STARTED, COMPLETE, FAILED]), F.col("status")), F.lit(0))
+    order = F.array_position(F.lit([STARTED, COMPLETE, FAILED]), F.col("status"))
     seq = F.lit(base_seq) + F.unix_date("date") * 4 + order
     return events.select(
         seq.cast("bigint").alias("seq"),
