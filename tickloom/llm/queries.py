@@ -6,14 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import exact, mixing, sharding
+from tickloom.llm import decontamination, exact, html, lines, mixing, sharding, simhash, toxicity
 from tickloom.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placed(table(spark, sf_dir, "documents"))
 
@@ -23,14 +39,52 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_decontamination": op4_decontamination,
+    "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
 
+ORACLES["op1_line_dedup"] = r"""
+WITH l AS (
+    SELECT doc_id, unnest(range(len(a))) AS no, unnest(a) AS raw
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
+), occ AS (
+    SELECT doc_id, no, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM l
+), d AS (
+    SELECT line, length(line) AS n, row_number() OVER (ORDER BY min((doc_id, no))) AS rk, min((doc_id, no)) AS first_at
+    FROM occ WHERE line <> '' GROUP BY line
+), halves AS (
+    SELECT rk, line, m, unnest(['head', 'tail']) AS side, unnest([left(line, m // 2), right(line, m // 2)]) AS half
+    FROM (SELECT rk, line, unnest([n, n - 1]) AS m FROM d WHERE n >= 20)
+), near AS (
+    SELECT DISTINCT b.line
+    FROM halves a JOIN halves b ON a.m = b.m AND a.side = b.side AND a.half = b.half AND a.rk < b.rk
+    WHERE levenshtein(a.line, b.line) = 1
+), gone AS (
+    SELECT o.doc_id, o.no, near.line IS NOT NULL AS is_near
+    FROM occ o JOIN d USING (line) LEFT JOIN near USING (line)
+    WHERE near.line IS NOT NULL OR (o.doc_id, o.no) <> d.first_at
+)
+SELECT x.doc_id, CAST(len(string_split(coalesce(x.text, ''), chr(10))) AS BIGINT) AS n_lines,
+       count(*) FILTER (WHERE NOT g.is_near) AS n_exact,
+       count(*) FILTER (WHERE g.is_near) AS n_near,
+       coalesce(string_agg(CAST(g.no AS VARCHAR), ',' ORDER BY g.no), '') AS dropped
+FROM documents x LEFT JOIN gone g ON x.doc_id = g.doc_id
+GROUP BY x.doc_id, x.text
+"""
+
 ORACLES["op2_exact_dedup"] = r"""
 WITH d AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
