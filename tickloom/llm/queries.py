@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontamination, exact, html, lines, mixing, sharding, simhash, toxicity
+from tickloom.llm import decontamination, exact, html, licenses, lines, mixing, pii, sharding, simhash, toxicity
 from tickloom.llm.common import table
 
 
@@ -39,10 +39,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.notices(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans_by_document(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -51,7 +59,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op7_mixing": op7_mixing,
+    "op8_license_scan": op8_license_scan,
     "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {}
