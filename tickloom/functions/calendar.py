@@ -2,7 +2,7 @@
 
 A session test is plain integer arithmetic on a date, so filtering a fact table to trading
 days needs neither a join nor a broadcast and stays inside whole-stage codegen. The rules
-cover 1990-2099.
+cover 1993-2099; a date outside them has no answer (null).
 
 Every function takes SQL text that yields a date (usually a column name) or a literal
 date. The rules are kept as SQL text because one parsed expression is built much faster
@@ -17,10 +17,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXCHANGE_ZONE = "America/New_York"
-FIRST_DATE = date(1990, 1, 1)
+FIRST_DATE = date(1993, 1, 1)
 LAST_DATE = date(2099, 12, 31)
 
-# Unscheduled full-day closures since 1990 (public NYSE record).
+# Unscheduled full-day closures since 1993 (public NYSE record).
 SPECIAL_CLOSURES = (
     "1994-04-27",
     "2001-09-11",
@@ -35,7 +35,7 @@ SPECIAL_CLOSURES = (
     "2025-01-09",
 )
 
-# Unscheduled 13:00 closes since 1990 (public NYSE record).
+# Unscheduled 13:00 closes since 1993 (public NYSE record).
 SPECIAL_EARLY_CLOSES = ("1997-12-26", "1999-12-31", "2003-12-26")
 
 # No run of closed days in the calendar is longer than this (tested over every year).
@@ -86,6 +86,12 @@ def _listed(d: str, iso_dates: tuple[str, ...]) -> str:
     return f"{d} IN ({', '.join(f"DATE'{x}'" for x in iso_dates)})"
 
 
+def _covered(d: str, answer: str) -> str:
+    """The answer, or null for a date outside the years of the rules."""
+    within = f"{d} BETWEEN DATE'{FIRST_DATE}' AND DATE'{LAST_DATE}'"
+    return f"CASE WHEN {within} THEN {answer} END"
+
+
 def _holiday(d: str) -> str:
     rules = [
         _on(d, 1, 1),
@@ -141,27 +147,29 @@ def _close(d: str) -> str:
 
 def is_holiday(d: str | date) -> Column:
     """Scheduled or unscheduled full-day closure (weekends not included)."""
-    return F.expr(_holiday(_sql(d)))
+    return F.expr(_covered(_sql(d), _holiday(_sql(d))))
 
 
 def is_session(d: str | date) -> Column:
     """True where the date is a trading day; null dates are no sessions."""
-    return F.expr(_session(_sql(d)))
+    d = _sql(d)
+    return F.expr(f"CASE WHEN {d} IS NULL THEN false ELSE {_covered(d, _session(d))} END")
 
 
 def is_early_close(d: str | date) -> Column:
     """True on trading days that end at 13:00 exchange time."""
-    return F.expr(f"{_session(_sql(d))} AND {_early_close(_sql(d))}")
+    d = _sql(d)
+    return F.expr(_covered(d, f"({_session(d)} AND {_early_close(d)})"))
 
 
 def session_open(d: str | date) -> Column:
     """Opening instant of a session; to be used on session dates only."""
-    return F.expr(_open(_sql(d)))
+    return F.expr(_covered(_sql(d), _open(_sql(d))))
 
 
 def session_close(d: str | date) -> Column:
     """Closing instant of a session, early closes honoured; on session dates only."""
-    return F.expr(_close(_sql(d)))
+    return F.expr(_covered(_sql(d), _close(_sql(d))))
 
 
 def minute_bounds(d: str | date, closed: str = "left") -> tuple[Column, Column]:
@@ -181,13 +189,14 @@ def minute_bounds(d: str | date, closed: str = "left") -> tuple[Column, Column]:
 
 
 def _first_session(days: str) -> str:
-    return f"element_at(filter({days}, x -> {_session('x')}), 1)"
+    return f"get(filter({days}, x -> {_session('x')}), 0)"
 
 
 def next_session(d: str | date) -> Column:
     """The date itself when it is a session, otherwise the first one after it."""
     d = _sql(d)
-    return F.expr(_first_session(f"sequence({d}, date_add({d}, {LONGEST_CLOSURE_DAYS}))"))
+    after = _first_session(f"sequence({d}, date_add({d}, {LONGEST_CLOSURE_DAYS}))")
+    return F.expr(_covered(d, after))
 
 
 def strictly_next_session(d: str | date) -> Column:
@@ -199,16 +208,16 @@ def previous_session(d: str | date) -> Column:
     """Last session before the date."""
     d = _sql(d)
     back = f"sequence(date_sub({d}, 1), date_sub({d}, {1 + LONGEST_CLOSURE_DAYS}))"
-    return F.expr(_first_session(back))
+    return F.expr(_covered(d, _first_session(back)))
 
 
 def previous_sessions(d: str | date, n: int) -> Column:
     """Array of the ``n`` sessions before the date, newest first."""
     if n < 0:
-        raise ValueError("n must be non-negative")
+        raise ValueError(f"the number of sessions cannot be negative: {n}")
     d = _sql(d)
     back = f"sequence(date_sub({d}, 1), date_sub({d}, {lookback_days(n)}))"
-    return F.expr(f"slice(filter({back}, x -> {_session('x')}), 1, {n})")
+    return F.expr(_covered(d, f"slice(filter({back}, x -> {_session('x')}), 1, {n})"))
 
 
 def lookback_days(n: int) -> int:

@@ -59,3 +59,13 @@ def freq_checked(freq: str) -> str:
     if freq not in ("1d", "1min"):
         raise ValueError(f"Unsupported frequency: {freq}. Use 1d or 1min.")
     return freq
+
+
+def in_range(d: Column, start: date | None, end: date | None) -> Column:
+    """Whether a date lies between two inclusive bounds; without one it is open there."""
+    cond = F.lit(True)
+    if start is not None:
+        cond = cond & (d >= F.lit(start))
+    if end is not None:
+        cond = cond & (d <= F.lit(end))
+    return cond

@@ -13,20 +13,11 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import finite, not_nan, number, require_utc
+from tickloom.functions.scalars import in_range, finite, not_nan, number, require_utc
 
 KEYS = ["symbol", "date"]
 
 
-def _in_range(d: Column, start: date | None, end: date | None) -> Column:
-    cond = F.lit(True)
-    if start is not None:
-        cond = cond & (d >= F.lit(start))
-    if end is not None:
-        cond = cond & (d <= F.lit(end))
-    return cond
-
-
 def build_split_ratios(
     splits: DataFrame, start: date | None = None, end: date | None = None
 ) -> DataFrame:
@@ -38,7 +29,7 @@ def build_split_ratios(
     ratio = finite(F.try_divide(number("split_from"), number("split_to")))
     return (
         splits.select(d.alias("date"), "symbol", ratio.alias("split_ratio"))
-        .where(_in_range(F.col("date"), start, end))
+        .where(in_range(F.col("date"), start, end))
         .where(F.col("symbol").isNotNull() & F.col("date").isNotNull())
         .where(F.col("split_ratio") > 0)
         .groupBy("date", "symbol")
@@ -53,7 +44,7 @@ def build_cash_dividends(
     d = F.col("ex_dividend_date").cast("date")
     return (
         dividends.select(d.alias("date"), "symbol", number("cash_amount").alias("cash_amount"))
-        .where(_in_range(F.col("date"), start, end))
+        .where(in_range(F.col("date"), start, end))
         .where(F.col("symbol").isNotNull() & F.col("date").isNotNull())
         .where(F.col("cash_amount") != 0)
         .groupBy("date", "symbol")
@@ -68,7 +59,7 @@ def filter_actions(
     symbols: list[str] | None = None,
 ) -> DataFrame:
     """Rows of an action table within inclusive dates and, if given, for some symbols."""
-    out = table.where(_in_range(F.col("date"), start, end))
+    out = table.where(in_range(F.col("date"), start, end))
     if symbols is not None:
         out = out.where(F.col("symbol").isin(list(symbols)))
     return out
@@ -83,9 +74,9 @@ def price_field_of(panel: DataFrame, field: str | None = None) -> str:
     if len(present) == 1:
         return present[0]
     if field is None:
-        raise ValueError("price_field is required for multi-field price tables")
+        raise ValueError(f"choose one of the fields {present}")
     if field not in present:
-        raise ValueError(f"Missing field '{field}' in price columns")
+        raise ValueError(f"the panel has no field {field!r}, only {present}")
     return field
 
 

@@ -34,8 +34,6 @@ from tickloom.operators import actions as act
 from tickloom.operators.sessions import calendar_days
 from tickloom.schemas import PRICE_FIELDS, VALUE_FIELDS
 
-MAX_WIDE_COLUMNS = 10_000
-
 
 @dataclass(frozen=True)
 class PanelRequest:
@@ -409,10 +407,7 @@ def to_wide(
     """
     fields = sorted(fields or [f for f in VALUE_FIELDS if f in panel.columns])
     if symbols is None:
-        seen = panel.select("symbol").distinct().limit(MAX_WIDE_COLUMNS + 1).collect()
-        if len(seen) > MAX_WIDE_COLUMNS:
-            raise ValueError(f"more than {MAX_WIDE_COLUMNS} symbols: keep the panel long")
-        symbols = sorted(r.symbol for r in seen)
+        symbols = sorted(r.symbol for r in panel.select("symbol").distinct().collect())
     pivoted = panel.groupBy("timestamp").pivot("symbol", list(symbols))
     if len(fields) == 1:
         return pivoted.agg(F.first(fields[0])).orderBy("timestamp")

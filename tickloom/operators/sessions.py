@@ -108,7 +108,7 @@ def previous_trading_day(spark: SparkSession, day: date) -> date:
 def previous_n_trading_days(spark: SparkSession, day: date, n: int) -> DataFrame:
     """The ``n`` sessions before a date, newest first."""
     if n < 0:
-        raise ValueError("n must be non-negative")
+        raise ValueError(f"the number of sessions cannot be negative: {n}")
     reach = timedelta(days=cal.lookback_days(n))
     return (
         calendar_days(spark, day - reach, day - timedelta(days=1))

@@ -11,6 +11,9 @@ PRICE_FIELDS = ("open", "high", "low", "close", "vwap")
 COUNT_FIELDS = ("volume", "n_trades")
 VALUE_FIELDS = PRICE_FIELDS + COUNT_FIELDS
 
+# Columns that raw bars or reference records may lack.
+OPTIONAL = frozenset({"vwap", "volume", "n_trades", "sector", "industry"})
+
 # Volume is DOUBLE in the lake: vendors deliver whole and fractional volumes, and a
 # partitioned table needs one type for all its files. Whole numbers stay exact to 2^53.
 BARS = T.StructType(
