@@ -35,29 +35,56 @@ def daily_notional(bars: DataFrame, day: Column | str = "date") -> DataFrame:
     )
 
 
+#: A value that more rows of a group share is cut by the first characters of the tie column.
+COMMON = 1_000
+TIE_CHARACTERS = 4
+
+
 def rank_descending(df: DataFrame, group: str, value: str, tie: str, name: str) -> DataFrame:
     """Exact rank of a double within a group, largest first, ties by ``tie``, null for null.
 
     One window over the group would put a whole day on one task. Values are first cut
     into bands by magnitude, rows are ranked within a band, and the number of rows in
-    higher bands is added. Bands are a pure function of the value, so both uses of it
-    agree; the band table is bounded by the range of a double, not by the rows. Zeros, the
-    one value that can be common, are cut by the first character of the tie column, which
-    follows the tie order; nulls, which need no order, by a hash of it.
+    higher bands is added. A value that very many rows share gets bands of its own, one for
+    each beginning of the tie column, which follow the tie order; nulls, which need no order,
+    are cut by a hash of it. Bands are a pure function of the row and the common values, so
+    both uses of them agree.
     """
     v = F.col(value)
     magnitude = F.floor(F.log2(F.abs(v)) * 16).cast("bigint")
     sign = F.when(v > 0, 2).when(v == 0, 1).when(v < 0, 0).otherwise(-1)
     cut = (
-        F.when(v > 0, magnitude)
-        .when(v == 0, -F.ascii(tie))
-        .when(v < 0, -magnitude)
+        F.when(v > 0, magnitude).when(v < 0, -magnitude).when(v == 0, 0)
         .otherwise(F.hash(tie) % 1024)
         .cast("bigint")
     )
-    banded = df.withColumns({"_sign": sign, "_cut": cut})
-    band = [group, "_sign", "_cut"]
-    higher = Window.partitionBy(group).orderBy(F.col("_sign").desc(), F.col("_cut").desc())
+    cut_by_value = df.withColumns({"_sign": sign, "_cut": cut})
+    rough = [group, "_sign", "_cut"]
+    common = (
+        cut_by_value.where(v.isNotNull())
+        .groupBy(*rough, v.alias("_v"))
+        .count()
+        .where(F.col("count") > COMMON)
+        .groupBy(*rough)
+        .agg(F.collect_list("_v").alias("_common"))
+        .select(*[F.col(c).alias(f"_{c}_of") for c in rough], "_common")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}_of")) for c in rough]
+    banded = cut_by_value.join(common, same, "left").withColumn(
+        "_common", F.coalesce("_common", F.array().cast("array<double>"))
+    )
+    shared = F.array_contains("_common", v)
+    larger = F.size(F.filter("_common", lambda x: x > v))
+    banded = banded.withColumns(
+        {
+            # between two common values, or one of them
+            "_step": F.when(v.isNotNull(), larger * 2 + shared.cast("int")).otherwise(0),
+            "_head": F.when(shared, F.substring(tie, 1, TIE_CHARACTERS)).otherwise(F.lit("")),
+        }
+    ).drop("_common", *[f"_{c}_of" for c in rough])
+    band = [*rough, "_step", "_head"]
+    down = [F.col("_sign").desc(), F.col("_cut").desc(), F.col("_step"), F.col("_head")]
+    higher = Window.partitionBy(group).orderBy(*down)
     above = F.sum("_rows").over(higher.rowsBetween(Window.unboundedPreceding, -1))
     bands = (
         banded.groupBy(*band)
