@@ -140,7 +140,7 @@ def windows(lake, freqs, fallback, end):
 
 
 def test_windows(lake):
-    with pytest.raises(ValueError, match="Pass --start"):
+    with pytest.raises(ValueError, match="fallback_start"):
         windows(lake, ["1d"], None, d(6))
     assert windows(lake, ["1d"], d(1), d(6)) == [("1d", d(1), d(6))]
     sink.record(lake, d(2), "1d", "complete")
@@ -154,8 +154,8 @@ def test_windows(lake):
         ("1d", "2024-02-06", None, "already-current"),
         ("1min", "2024-02-05", "2024-02-06", "update"),
     ]
-    first = led.earliest_start(led.update_windows(load_ledger(lake), ["1d", "1min"], None, d(9)))
-    assert first.first().start == d(6)
+    first = led.earliest_start([r.start for r in led.update_windows(load_ledger(lake), ["1d", "1min"], None, d(9)).collect()])
+    assert first == d(6)
     with pytest.raises(ValueError, match="Unsupported frequency"):
         windows(lake, ["1h"], None, d(6))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,15 +180,48 @@ def raw_bars(bars: DataFrame) -> DataFrame:
     )
 
 
-def land_raw_files(bars: DataFrame, root: str) -> None:
-    """Write raw day files (gzip CSV with header), one folder per UTC date of the bars."""
-    day = F.expr("to_date(timestamp_micros(window_start div 1000))")
-    raw = raw_bars(bars).withColumn("day", day)
+def land_raw_files(
+    bars: DataFrame, root: str, nameless: DataFrame | None = None, files_per_day: int = 1
+) -> None:
+    """Write raw day files (gzip CSV with header), one folder per UTC date of the bars.
+
+    The rows of ``nameless`` are written without a time stamp. Several files of a day hold
+    its bars dealt by symbol.
+    """
+    day = F.to_date("timestamp").alias("day")
+    raw = raw_bars(bars).select("*", F.expr("to_date(timestamp_micros(window_start div 1000)) AS day"))
+    if nameless is not None:
+        blank = F.lit(None).cast("bigint").alias("window_start")
+        rest = [c for c in RAW_COLUMNS if c != "window_start"]
+        lost = nameless.withColumnsRenamed({"symbol": "ticker", "n_trades": "transactions"})
+        raw = raw.union(lost.select("*", blank, day).select(rest[0], "window_start", *rest[1:], "day"))
+    share = F.pmod(F.xxhash64("ticker"), F.lit(files_per_day))
     (
-        raw.repartition("day")
-        .sortWithinPartitions("day", "window_start", "ticker")
+        raw.withColumn("share", share)
+        .repartition("day", "share")
+        .sortWithinPartitions("day", "share", "window_start", "ticker")
+        .drop("share")
         .write.partitionBy("day")
         .option("header", "true")
         .option("compression", "gzip")
         .csv(root)
     )
+
+
+def land_broken_day(spark: SparkSession, root: str, day: date) -> None:
+    """A day file that is no bar table."""
+    rows = spark.createDataFrame([("x",)], "nothing string")
+    rows.write.option("header", "true").option("compression", "gzip").csv(f"{root}/day={day}")
+
+
+def land_records(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Reference records as Parquet: securities, and one split and dividend a symbol and day."""
+    security_raw(spark, sf_dir).write.parquet(f"{root}/securities.parquet")
+    key = ["symbol", "execution_date"]
+    splits = minute_splits(spark, sf_dir).groupBy(*key).agg(
+        F.max("split_from").alias("split_from"), F.min("split_to").alias("split_to")
+    )
+    key = ["symbol", "ex_dividend_date"]
+    cash = minute_dividends(spark, sf_dir).groupBy(*key).agg(F.max("cash_amount").alias("cash_amount"))
+    for name, records in (("splits", splits), ("dividends", cash)):
+        records.withColumnRenamed("symbol", "ticker").write.parquet(f"{root}/{name}.parquet")

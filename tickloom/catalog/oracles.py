@@ -289,6 +289,25 @@ SELECT timestamp, symbol, open, high, low, close, close AS vwap,
 FROM bars_1min WHERE CAST(timestamp AS DATE) IN (SELECT date FROM sessions)"""
 
 
+_SNAPSHOTS = f"""WITH {BARS_EVENT_DAYS},{SESSIONS}
+SELECT CAST(timestamp AS DATE) AS date, symbol, close * CAST(volume AS DOUBLE) AS notional,
+  CAST(row_number() OVER (PARTITION BY CAST(timestamp AS DATE)
+    ORDER BY close * CAST(volume AS DOUBLE) DESC, symbol) AS BIGINT) AS rank
+FROM bars_day WHERE CAST(timestamp AS DATE) IN (SELECT date FROM sessions)"""
+
+# Events of the minute symbols that two updates take in: the days between them are in neither.
+_SYNCED = """
+events_of AS (
+  SELECT * FROM (
+    SELECT ['click', 'error', 'purchase', 'signup', 'view'][s_suppkey % 5 + 1] AS symbol,
+      CAST(DATE '2024-01-01' + CAST(s_suppkey * 7 % 30 AS INTEGER) AS DATE) AS day,
+      pow(2, s_suppkey % 3) AS split_from, pow(2, (s_suppkey // 3) % 3) AS split_to,
+      CAST(s_suppkey % 9 / 4.0 AS DOUBLE) AS cash
+    FROM supplier
+  ) WHERE day NOT BETWEEN DATE '2024-01-13' AND DATE '2024-01-15'
+)"""
+
+
 def _neighbour(agg: str, compare: str, name: str) -> str:
     return f"""WITH {SESSIONS},{ORDER_DATES}
 SELECT o.date, {agg}(s.date) AS {name} FROM order_dates o
@@ -464,15 +483,49 @@ SELECT freq, latest_complete, CASE WHEN s <= DATE '2001-08-01' THEN s END AS sta
   CASE WHEN s <= DATE '2001-08-01' THEN 'update' ELSE 'already-current' END AS status
 FROM planned""",
     "raw_file_audit": f"""WITH {SESSIONS}
-SELECT date, date IN (SELECT CAST(ts AS DATE) FROM events) AS present
+SELECT date, date IN (SELECT CAST(ts AS DATE) FROM events) AS present,
+  CAST(date IN (SELECT CAST(ts AS DATE) FROM events) AS BIGINT) AS files
 FROM sessions WHERE date BETWEEN DATE '2023-12-18' AND DATE '2024-02-09'""",
     "job_backfill": _SESSION_BARS,
     "stream_ingest": _SESSION_BARS,
-    "job_incremental": f"""WITH {BARS_EVENT_DAYS},{SESSIONS}
-SELECT CAST(timestamp AS DATE) AS date, symbol, close * CAST(volume AS DOUBLE) AS notional,
-  CAST(row_number() OVER (PARTITION BY CAST(timestamp AS DATE)
-    ORDER BY close * CAST(volume AS DOUBLE) DESC, symbol) AS BIGINT) AS rank
-FROM bars_day WHERE CAST(timestamp AS DATE) IN (SELECT date FROM sessions)""",
+    "job_backfill_untidy": f"{_SESSION_BARS} AND CAST(timestamp AS DATE) <> DATE '2024-01-10'",
+    "job_backfill_ledger": f"""WITH {SESSIONS}
+SELECT date, '1min' AS freq, CASE WHEN date <> DATE '2024-01-10'
+  AND date IN (SELECT CAST(ts AS DATE) FROM events) THEN 'complete' ELSE 'failed' END AS status
+FROM sessions WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'""",
+    "job_incremental_bars": f"""WITH {BARS_EVENT_DAYS},{BARS_1MIN},{SESSIONS},
+all_bars AS (
+  SELECT *, '1d' AS freq FROM bars_day UNION ALL SELECT *, '1min' AS freq FROM bars_1min
+)
+SELECT timestamp, symbol, open, high, low, close, close AS vwap,
+  CAST(volume AS DOUBLE) AS volume, n_trades, freq
+FROM all_bars WHERE CAST(timestamp AS DATE) IN (SELECT date FROM sessions)""",
+    "job_incremental_actions": f"""WITH {_SYNCED},
+s AS (
+  SELECT symbol, day AS date, max(split_from) / min(split_to) AS amount FROM events_of
+  GROUP BY symbol, day
+),
+d AS (SELECT symbol, day AS date, max(cash) AS amount FROM events_of GROUP BY symbol, day)
+SELECT 'split' AS kind, date, symbol, amount FROM s
+UNION ALL SELECT 'dividend', date, symbol, amount FROM d WHERE amount <> 0""",
+    "job_incremental_windows": f"""WITH {SESSIONS},
+windows(run, start, "end") AS (VALUES
+  (1, DATE '2024-01-01', DATE '2024-01-12'), (2, DATE '2024-01-16', DATE '2024-01-31')),
+freqs(freq) AS (VALUES ('1d'), ('1min')),
+days AS (
+  SELECT run, date, date IN (SELECT CAST(ts AS DATE) FROM events) AS here
+  FROM sessions JOIN windows ON date BETWEEN start AND "end"
+)
+SELECT freq, start, "end", count(*) AS expected, count(*) FILTER (WHERE here) AS present,
+  count(*) FILTER (WHERE NOT here) AS missing,
+  CASE WHEN freq = '1d' THEN 1 ELSE count(*) FILTER (WHERE here) END AS partitions,
+  true AS reference_synced, start AS corporate_actions_start, run
+FROM windows JOIN days USING (run) CROSS JOIN freqs GROUP BY freq, start, "end", run""",
+    "lake_universe": f"""WITH {BARS_EVENT_DAYS}
+SELECT symbol FROM bars_day WHERE CAST(timestamp AS DATE) = DATE '2024-01-18'
+ORDER BY close * CAST(volume AS DOUBLE) DESC, symbol LIMIT 3""",
+    "stream_universe": _SNAPSHOTS,
+    "job_incremental": _SNAPSHOTS,
     "lake_adjusted_prices": _adjusted(
         [
             BARS_1D,
@@ -504,6 +557,7 @@ FROM firsts""",
     "lake_security_master": """SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS symbol,
   s_name AS name, n_name AS exchange,
   CASE WHEN s_suppkey % 3 = 0 THEN 'ETF' ELSE 'CS' END AS type,
-  CAST(NULL AS VARCHAR) AS sector, CAST(NULL AS VARCHAR) AS industry, s_acctbal >= 0 AS is_active
+  CAST(NULL AS VARCHAR) AS sector, CAST(NULL AS VARCHAR) AS industry, s_acctbal >= 0 AS is_active,
+  concat('C-', s_name) AS cik
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 }

@@ -17,16 +17,19 @@ from tickloom.sinks import lake as sink
 from tickloom.sources import lake as src
 from tickloom.sources import raw
 from tickloom.sources.lake import Lake
+from tickloom.sources.reference import read_records
 from tickloom.streaming.ingest import stream_bars
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # The given daily bars lie within these bounds at every scale, the minute bars in January 2024.
-DAILY_SPAN = (datetime(1990, 1, 1), datetime(2030, 1, 1))
+DAILY_SPAN = (datetime(1993, 1, 1), datetime(2030, 1, 1))
 MINUTE_SPAN = (datetime(2024, 1, 1), datetime(2024, 1, 31, 23, 59))
 MINUTE_DATES = (date(2024, 1, 1), date(2024, 1, 31))
 VENDOR = "vendor"
+BROKEN_DAY = date(2024, 1, 10)
+SNAPSHOT_DAY = date(2024, 1, 18)
 
 
 def query(fn: Query) -> Query:
@@ -413,7 +416,7 @@ def raw_file_audit(spark, sf_dir):
     lake = _landed(spark, sf_dir, "audit", "1d")
     files = jobs.RawSource(VENDOR).files(lake, "1d")
     days = sessions.trading_days(spark, date(2023, 12, 18), date(2024, 2, 9))
-    return raw.audit_files(days, files).select("date", "present")
+    return raw.audit_files(days, files).select("date", "present", "files")
 
 
 @query
@@ -423,15 +426,100 @@ def job_backfill(spark, sf_dir):
     return src.scan_bars(lake, "1min")
 
 
+def _untidy(spark, sf_dir, name):
+    """Landed minute files with null stamps, counts written as 12.0, and one day of no CSV."""
+    lake = _lake(spark, name)
+    bars = fx.bars_1min(spark, sf_dir).withColumn("n_trades", F.col("n_trades").cast("double"))
+    nameless = bars.where(F.minute("timestamp") % 5 == 0).withColumn("symbol", F.lit("LOST"))
+    root = raw.raw_root(lake.root, VENDOR, "1min")
+    good = F.to_date("timestamp") != F.lit(BROKEN_DAY)
+    fx.land_raw_files(bars.where(good), root, nameless.where(good))
+    fx.land_broken_day(spark, root, BROKEN_DAY)
+    return lake
+
+
+def _backfilled_twice(spark, sf_dir, name):
+    lake = _untidy(spark, sf_dir, name)
+    for _ in range(2):
+        jobs.backfill_bars(lake, jobs.RawSource(VENDOR), *MINUTE_DATES, "1min")
+    return lake
+
+
 @query
-def job_incremental(spark, sf_dir):
+def job_backfill_untidy(spark, sf_dir):
+    """Bars of untidy files, ingested twice: good days are whole, rows without a stamp absent."""
+    return src.scan_bars(_backfilled_twice(spark, sf_dir, "untidy"), "1min")
+
+
+@query
+def job_backfill_ledger(spark, sf_dir):
+    """Last status of each day of that backfill."""
+    lake = _backfilled_twice(spark, sf_dir, "untidy-ledger")
+    return ledger.last_status(src.load_ledger(lake)).select("date", "freq", "status")
+
+
+def _updated(spark, sf_dir, name):
     """First update in two runs: the second continues where the first one ended."""
-    lake = _landed(spark, sf_dir, "update", "1d", "1min")
+    lake = _landed(spark, sf_dir, name, "1d", "1min")
     source = jobs.RawSource(VENDOR)
+    landed = scratch_path(spark, "records")
+    fx.land_records(spark, sf_dir, landed)
+    kinds = ("securities", "splits", "dividends")
+    reference = jobs.ReferenceSource(
+        *[lambda kind=kind: read_records(spark, f"{landed}/{kind}.parquet") for kind in kinds]
+    )
     first = date(2024, 1, 1)
-    jobs.run_incremental_update(lake, source, None, first, date(2024, 1, 12))
-    jobs.run_incremental_update(lake, source, None, first, date(2024, 1, 31))
-    return src.load_universe(lake)
+    windows = [
+        jobs.run_incremental_update(lake, source, None, first, end, reference=reference)
+        for end in (date(2024, 1, 12), date(2024, 1, 31))
+    ]
+    return lake, windows
+
+
+@query
+def job_incremental(spark, sf_dir):
+    """Snapshots of an update in two runs."""
+    return src.load_universe(_updated(spark, sf_dir, "update")[0])
+
+
+@query
+def job_incremental_bars(spark, sf_dir):
+    """Daily and minute bars of an update in two runs."""
+    lake, _ = _updated(spark, sf_dir, "update-bars")
+    day, minute = (
+        src.scan_bars(lake, freq).withColumn("freq", F.lit(freq)) for freq in ("1d", "1min")
+    )
+    return day.union(minute)
+
+
+@query
+def job_incremental_actions(spark, sf_dir):
+    """Action tables of an update in two runs, from landed records."""
+    lake, _ = _updated(spark, sf_dir, "update-actions")
+    ratios = src.load_split_ratio_table(lake).select(
+        F.lit("split").alias("kind"), "date", "symbol", F.col("split_ratio").alias("amount")
+    )
+    cash = src.load_dividend_cash_table(lake).select(
+        F.lit("dividend"), "date", "symbol", "cash_amount"
+    )
+    return ratios.union(cash)
+
+
+@query
+def job_incremental_windows(spark, sf_dir):
+    """What the two updates say they did."""
+    _, (first, second) = _updated(spark, sf_dir, "update-windows")
+    return first.withColumn("run", F.lit(1)).union(second.withColumn("run", F.lit(2)))
+
+
+@query
+def lake_universe(spark, sf_dir):
+    """The largest symbols of one stored snapshot."""
+    lake = _landed(spark, sf_dir, "snapshot", "1d")
+    jobs.backfill_bars(
+        lake, jobs.RawSource(VENDOR), *MINUTE_DATES, "1d", write_universe_snapshots=True
+    )
+    return prices.get_universe(lake, SNAPSHOT_DAY, 3)
 
 
 @query
@@ -444,6 +532,20 @@ def stream_ingest(spark, sf_dir):
     return src.scan_bars(lake, "1min")
 
 
+@query
+def stream_universe(spark, sf_dir):
+    """Snapshots of a stream that takes one file at a time, each day in several files."""
+    lake = _lake(spark, "stream-days")
+    root = raw.raw_root(lake.root, VENDOR, "1d")
+    fx.land_raw_files(fx.bars_event_days(spark, sf_dir), root, files_per_day=3)
+    run = stream_bars(
+        lake, jobs.RawSource(VENDOR), "1d", fx.RAW_COLUMNS, scratch_path(spark, "offsets"),
+        write_universe_snapshots=True, max_files_per_trigger=20,
+    )
+    run.awaitTermination()
+    return src.load_universe(lake)
+
+
 @query
 def lake_adjusted_prices(spark, sf_dir):
     """Bars and events written to a lake twice, then read back adjusted."""
@@ -471,9 +573,10 @@ def lake_event_merge(spark, sf_dir):
 
 @query
 def lake_security_master(spark, sf_dir):
-    """Securities merged twice: a changed activity flag does not overwrite the first."""
+    """Securities merged twice: a changed activity flag does not overwrite the first, and a
+    column of the vendor's own comes back."""
     lake = _lake(spark, "master")
-    records = fx.security_raw(spark, sf_dir)
+    records = fx.security_raw(spark, sf_dir).withColumn("cik", F.concat(F.lit("C-"), "name"))
     jobs.sync_security_master(lake, records)
     jobs.sync_security_master(lake, records.withColumn("active", ~F.col("active")))
     return src.load_security_master(lake)

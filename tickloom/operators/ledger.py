@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,15 +97,14 @@ def update_windows(
         lost = report.where(F.col("status") == "needs-start").select("freq").collect()
         if lost:
             raise ValueError(
-                f"No complete day in the ledger for freq={lost[0].freq}. "
-                "Pass --start (fallback_start) for the first update."
+                f"nothing was ingested yet at {lost[0].freq}: give a fallback_start"
             )
     return report.where(F.col("status") == "update").drop("status")
 
 
-def earliest_start(windows: DataFrame) -> DataFrame:
-    """One row with the first start over all windows, null if there are none."""
-    return windows.agg(F.min("start").alias("start"))
+def earliest_start(starts: Sequence[date]) -> date | None:
+    """The first start over the windows of an update (one per frequency), if there are any."""
+    return min(starts, default=None)
 
 
 def gap_report(ledger: DataFrame, freq: str, end: date) -> DataFrame:

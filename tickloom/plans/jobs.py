@@ -7,7 +7,7 @@ and matched to the calendar as tables, parsed in one scan, staged once, and merg
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -19,16 +19,19 @@ from tickloom.operators import normalize, sessions
 from tickloom.operators.normalize import for_symbols
 from tickloom.operators.universe import build_universe
 from tickloom.schemas import FREQS
-from tickloom.session import stage
+from tickloom.session import scratch_run, stage
 from tickloom.sinks import lake as sink
 from tickloom.sources import raw
-from tickloom.sources.lake import Lake, load_ledger
+from tickloom.sources.lake import Lake, load_ledger, trading_day_bars
 
 RESULT_COLUMNS = (
     "freq string, start date, end date, expected bigint, present bigint, missing bigint, "
-    "partitions bigint"
+    "partitions bigint, reference_synced boolean, corporate_actions_start date"
 )
 
+#: Days staged together by default: about a year of sessions.
+DAYS_PER_RUN = 250
+
 
 @dataclass(frozen=True)
 class RawSource:
@@ -45,12 +48,14 @@ class RawSource:
 
 @dataclass(frozen=True)
 class BackfillResult:
-    """What a backfill did: days planned, ingested and without a file, partitions touched."""
+    """What a backfill did: days planned, ingested and failed, partitions touched, and why
+    days that have files failed."""
 
     planned: list[date]
     ingested: list[date]
     failed: list[date]
     partitions: list[str]
+    errors: dict[date, Exception] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -83,14 +88,14 @@ def backfill_bars(
     symbols: list[str] | None = None,
     write_universe_snapshots: bool = False,
     fail_fast: bool = False,
-    days_per_run: int | None = None,
+    days_per_run: int = DAYS_PER_RUN,
 ) -> BackfillResult:
     """Ingest every session in the range that was never completed.
 
-    A day without a raw file is logged as failed; with ``fail_fast`` later days are left
-    alone and the run ends with an error. An error while reading or writing marks every
-    day of the run as failed and is raised. ``days_per_run`` cuts a long history into
-    several runs, which bounds the staged data and what an error has to repeat.
+    A day without a raw file, or whose files cannot be read, is logged as failed and the
+    other days complete; the result tells why. With ``fail_fast`` the run ends there with an
+    error. ``days_per_run`` cuts a long history into several
+    runs, which bounds the staged data; it does not change the result.
     """
     plan = planned_files(lake, source, start, end, freq_checked(freq))
     absent = sorted({d for d, path in plan if path is None})
@@ -99,15 +104,23 @@ def backfill_bars(
         absent = absent[:1]
     planned = sorted({d for d, _ in plan})
     partitions: list[str] = []
-    step = days_per_run or max(len(planned), 1)
-    for i in range(0, len(planned), step):
-        part = set(planned[i : i + step])
+    errors: dict[date, Exception] = {}
+    for i in range(0, len(planned), days_per_run):
+        part = set(planned[i : i + days_per_run])
         run = [(d, path) for d, path in plan if d in part]
-        partitions += _backfill_run(lake, run, freq, symbols, write_universe_snapshots)
+        done, bad = _backfill_run(lake, run, freq, symbols, write_universe_snapshots)
+        partitions += done
+        errors |= bad
+        if fail_fast and errors:
+            break
+    found = [d for d in planned if d not in {*absent, *errors}]
+    if fail_fast and errors:
+        raise errors[min(errors)]
     if fail_fast and absent:
-        raise FileNotFoundError(f"Missing flat file for {absent[0]} ({freq})")
-    found = [d for d in planned if d not in set(absent)]
-    return BackfillResult(planned, found, absent, sorted(set(partitions)))
+        raise FileNotFoundError(f"no raw file of {absent[0]} at {freq}")
+    return BackfillResult(
+        planned, found, sorted({*absent, *errors}), sorted(set(partitions)), errors
+    )
 
 
 def _backfill_run(
@@ -116,23 +129,43 @@ def _backfill_run(
     freq: str,
     symbols: list[str] | None,
     snapshots: bool,
-) -> list[str]:
-    days = _days_frame(lake, {d for d, _ in plan})
-    found = _days_frame(lake, {d for d, path in plan if path is not None})
-    absent = _days_frame(lake, {d for d, path in plan if path is None})
-    paths = [path for _, path in plan if path is not None]
-    partitions: list[str] = []
-    sink.record_days(lake, freq, {led.STARTED: days})
+) -> tuple[list[str], dict[date, Exception]]:
+    """Ingest the days of one run; partitions touched, and the days that could not be read."""
+    days = {d for d, _ in plan}
+    files = [(d, path) for d, path in plan if path is not None]
+    sink.record_days(lake, freq, {led.STARTED: _days_frame(lake, days)})
+    partitions, errors = _ingest_files(lake, files, freq, symbols, snapshots)
+    found = {d for d, _ in files} - set(errors)
+    outcome = {led.COMPLETE: _days_frame(lake, found), led.FAILED: _days_frame(lake, days - found)}
+    sink.record_days(lake, freq, outcome)
+    return partitions, errors
+
+
+def _ingest_files(
+    lake: Lake,
+    files: list[tuple[date, str]],
+    freq: str,
+    symbols: list[str] | None,
+    snapshots: bool,
+) -> tuple[list[str], dict[date, Exception]]:
+    """All files in one job; if it fails, each half of the days, down to the day that is bad.
+
+    Merges keep existing rows, so what a failed attempt had written is not written again.
+    """
+    if not files:
+        return [], {}
     try:
-        if paths:
-            bars = raw.bars_from_files(lake.spark, paths, materialize=True)
-            bars = for_symbols(bars, symbols)
-            partitions = ingest(lake, bars, freq, snapshots).partitions
-    except Exception:
-        sink.record_days(lake, freq, {led.FAILED: days})
-        raise
-    sink.record_days(lake, freq, {led.COMPLETE: found, led.FAILED: absent})
-    return partitions
+        with scratch_run(lake.spark, lake.path("staging")):
+            bars = raw.bars_from_files(lake.spark, [path for _, path in files], materialize=True)
+            return ingest(lake, for_symbols(bars, symbols), freq, snapshots).partitions, {}
+    except Exception as error:  # noqa: BLE001 - whatever a reader or writer raises
+        days = sorted({d for d, _ in files})
+        if len(days) == 1:
+            return [], {days[0]: error}
+    middle = days[len(days) // 2]
+    halves = [f for f in files if f[0] < middle], [f for f in files if f[0] >= middle]
+    done = [_ingest_files(lake, half, freq, symbols, snapshots) for half in halves]
+    return done[0][0] + done[1][0], done[0][1] | done[1][1]
 
 
 def _days_frame(lake: Lake, days: set[date]) -> DataFrame:
@@ -142,16 +175,25 @@ def _days_frame(lake: Lake, days: set[date]) -> DataFrame:
 def ingest(lake: Lake, bars: DataFrame, freq: str, snapshots: bool) -> IngestedBars:
     """Deduplicate, stage, merge and, if asked, rank normalised bars of raw files.
 
-    Snapshots are per trading day of the source file and use deduplicated bars.
+    Bars are stored with the trading day of their source file. The days touched are ranked
+    from all of their bars in the lake, however many runs or batches brought them in.
     """
     unique = sink.unique_bars(bars.drop(raw.SOURCE_FILE))
     staged = stage(sink.with_partition(unique, freq), f"ingest-{freq}")
-    partitions = sink.write_staged_bars(lake, staged.drop(raw.TRADING_DAY), freq)
+    partitions = sink.write_staged_bars(lake, staged, freq)
     if snapshots:
-        sink.write_universe(lake, build_universe(staged, F.col(raw.TRADING_DAY)))
+        days = [r[0] for r in staged.select(raw.TRADING_DAY).distinct().collect()]
+        rank_days(lake, [d for d in days if d is not None], freq)
     return IngestedBars(staged, partitions)
 
 
+def rank_days(lake: Lake, days: list[date], freq: str) -> None:
+    """Rank trading days from the stored bars and replace their snapshots."""
+    if days:
+        bars = trading_day_bars(lake, freq, days)
+        sink.replace_universe(lake, build_universe(bars, F.col(raw.TRADING_DAY)))
+
+
 def sync_security_master(lake: Lake, records: DataFrame) -> str:
     """Security records into the security master."""
     return sink.write_security_master(lake, normalize.securities(records))
@@ -189,7 +231,7 @@ def run_incremental_update(
     write_universe: bool = True,
     reference: ReferenceSource | None = None,
     fail_fast: bool = False,
-    days_per_run: int | None = None,
+    days_per_run: int = DAYS_PER_RUN,
 ) -> DataFrame:
     """Bring the lake up to the last session before today (or ``end``).
 
@@ -200,7 +242,8 @@ def run_incremental_update(
     the window stay in them.
 
     Returns one row per frequency: window, files expected, present and missing, and
-    partitions touched; nulls and zeros for a frequency that was current.
+    partitions touched; nulls and zeros for a frequency that was current. Each row also tells
+    whether reference data ran and from which day on actions were synced.
     """
     freqs = list(dict.fromkeys(freqs or FREQS))
     update_end = end or led.default_update_end(lake.spark)
@@ -233,12 +276,14 @@ def run_incremental_update(
                 len(done.partitions),
             )
         )
+    first = None
     if reference is not None:
         sync_security_master(lake, reference.securities())
-        if windows:
-            first = min(w.start for w in windows.values())
+        first = led.earliest_start([w.start for w in windows.values()])
+        if first is not None:
             sync_corporate_actions(
                 lake, reference.splits(), reference.dividends(), first, update_end
             )
             sink.build_corporate_actions_tables(lake, end=update_end)
-    return lake.spark.createDataFrame(results, RESULT_COLUMNS)
+    told = [(*r, reference is not None, first) for r in results]
+    return lake.spark.createDataFrame(told, RESULT_COLUMNS)

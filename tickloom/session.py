@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,16 +42,47 @@ def _local_scratch() -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the scratch folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the scratch folder, or under that of the run it is called in."""
+    return f"{_run_folder.get() or scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, otherwise: str) -> Iterator[None]:
+    """What is staged inside is removed at the end. It lies in the cluster's shared folder, or
+    below ``otherwise``, a folder that the executors are known to reach, where none is named."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or otherwise
+    folder = f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield
+    finally:
+        _run_folder.reset(token)
+        remove(spark, folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; nothing happens where there is none."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a folder; false where there is none."""
+    files, at = _file_system(spark, path)
+    return files.exists(at) and files.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to))
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many: cuts lineage so that later steps do not re-parse raw files,
     and a lost executor costs a re-read of the staged table rather than a recompute."""
     path = scratch_path(df.sparkSession, name)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

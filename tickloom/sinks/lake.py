@@ -7,6 +7,7 @@ half-way is completed by running it again, and running twice changes nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
@@ -24,7 +25,7 @@ from tickloom.operators.merge import (
     new_rows,
 )
 from tickloom.operators.normalize import validate_bars
-from tickloom.session import stage
+from tickloom.session import move, remove, scratch_run, stage
 from tickloom.sources.lake import (
     PARTITION,
     Lake,
@@ -45,8 +46,12 @@ def _append(df: DataFrame, path: str, partition: str | None, order: Sequence[str
 
 
 def unique_bars(df: DataFrame) -> DataFrame:
-    """Validated bars in UTC, first row of each (timestamp, symbol) in input order."""
-    return drop_duplicates_keep_first(validate_bars(df), BAR_KEY)
+    """Validated bars in UTC, first row of each (timestamp, symbol) in input order.
+
+    Bars without a timestamp have no partition and are left out.
+    """
+    stamped = validate_bars(df).where(F.col("timestamp").isNotNull())
+    return drop_duplicates_keep_first(stamped, BAR_KEY)
 
 
 def with_partition(df: DataFrame, freq: str) -> DataFrame:
@@ -62,14 +67,15 @@ def write_bars(lake: Lake, df: DataFrame, freq: str) -> list[str]:
     The incoming rows are staged once, so that raw files are parsed once and the set of
     touched partitions (one value per day or year) is read from the staged table.
     """
-    staged = stage(with_partition(unique_bars(df), freq_checked(freq)), f"bars-{freq}")
-    return write_staged_bars(lake, staged, freq)
+    with scratch_run(lake.spark, lake.path("staging")):
+        staged = stage(with_partition(unique_bars(df), freq_checked(freq)), f"bars-{freq}")
+        return write_staged_bars(lake, staged, freq)
 
 
 def write_staged_bars(lake: Lake, staged: DataFrame, freq: str) -> list[str]:
     """Merge bars that are unique and carry their partition column."""
     part = PARTITION[freq]
-    touched = sorted(r[0] for r in staged.select(part).distinct().collect() if r[0] is not None)
+    touched = sorted(r[0] for r in staged.select(part).distinct().collect())
     if not touched:
         return []
     existing = lake.table(f"bars_{freq}", bars_schema(freq)).where(F.col(part).isin(touched))
@@ -120,24 +126,48 @@ def write_universe(lake: Lake, snapshots: DataFrame) -> str:
     return lake.path("universe")
 
 
+def replace_universe(lake: Lake, snapshots: DataFrame) -> str:
+    """Put snapshots in the place of those of the same days; other days are not touched."""
+    path = lake.path("universe")
+    (
+        snapshots.select(*schemas.UNIVERSE.names)
+        .hint("rebalance", "date")
+        .sortWithinPartitions("date", "symbol")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .parquet(path)
+    )
+    return path
+
+
+def _replace(lake: Lake, table: DataFrame, name: str) -> str:
+    """Write a table beside the old one, then swap them: a run that fails leaves the old one."""
+    path, new = lake.path(name), lake.path(f"{name}.new-{uuid.uuid4().hex}")
+    old = new.replace(".new-", ".old-")
+    table.write.parquet(new)
+    had = move(lake.spark, path, old)
+    move(lake.spark, new, path)
+    lake.spark.catalog.refreshByPath(path)
+    if had:
+        remove(lake.spark, old)
+    return path
+
+
 def build_split_ratio_table(
     lake: Lake, start: date | None = None, end: date | None = None
 ) -> str:
     """Rebuild the split-ratio table from the split events; replaces it."""
-    path = lake.path("split_ratios")
     table = actions.build_split_ratios(load_splits(lake), start, end)
-    table.select(*schemas.SPLIT_RATIOS.names).write.mode("overwrite").parquet(path)
-    return path
+    return _replace(lake, table.select(*schemas.SPLIT_RATIOS.names), "split_ratios")
 
 
 def build_dividend_cash_table(
     lake: Lake, start: date | None = None, end: date | None = None
 ) -> str:
     """Rebuild the cash-dividend table from the dividend events; replaces it."""
-    path = lake.path("cash_dividends")
     table = actions.build_cash_dividends(load_dividends(lake), start, end)
-    table.select(*schemas.CASH_DIVIDENDS.names).write.mode("overwrite").parquet(path)
-    return path
+    return _replace(lake, table.select(*schemas.CASH_DIVIDENDS.names), "cash_dividends")
 
 
 def build_corporate_actions_tables(
@@ -170,6 +200,7 @@ __all__ = [
     "build_split_ratio_table",
     "record",
     "record_days",
+    "replace_universe",
     "unique_bars",
     "with_partition",
     "write_bars",

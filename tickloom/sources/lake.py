@@ -10,7 +10,7 @@ Layout below the root::
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +47,11 @@ class Lake:
         reader = self.spark.read
         reader = reader.option("mergeSchema", "true") if extras else reader.schema(schema)
         try:
-            return reader.parquet(self.path(name))
+            table = reader.parquet(self.path(name))
+            lost = [c for c in schema.names if c not in table.columns]
+            return table if not lost else self.spark.read.schema(
+                T.StructType([*schema.fields, *[f for f in table.schema if f.name not in schema.names]])
+            ).parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
@@ -84,11 +88,32 @@ def scan_bars(
     return bars.drop(part)
 
 
+def trading_day_bars(lake: Lake, freq: str, days: list[date]) -> DataFrame:
+    """Stored bars of some trading days, with their day in ``trading_day``.
+
+    A bar keeps the day of its source file; a bar that came without one counts for its UTC
+    date. Trading after hours can reach into the next UTC date, so a day's neighbours are
+    read as well.
+    """
+    day = T.StructField("trading_day", T.DateType())
+    bars = lake.table(f"bars_{freq}", T.StructType([*bars_schema(freq).fields, day]))
+    near = {d + timedelta(days=k) for d in days for k in (-1, 0, 1)}
+    parts = sorted({d.year for d in near} if freq == "1d" else near)
+    bars = bars.where(F.col(PARTITION[freq]).isin(parts))
+    bars = bars.withColumn("trading_day", F.coalesce("trading_day", F.to_date("timestamp")))
+    return bars.where(F.col("trading_day").isin(days)).drop(PARTITION[freq])
+
+
 def scan_foreign_bars(spark: SparkSession, root: str, freq: str) -> DataFrame:
     """Bars of a lake laid out as ``bars/freq=<freq>/**/*.parquet`` by another tool.
 
-    Such files often hold nanosecond stamps, which Spark only reads as integers.
+    Such files often hold nanosecond stamps, which Spark only reads as integers. That is a
+    setting of a session, so the frame belongs to one of its own; the caller's stays as it is.
+    Write it to a lake, or put it on the left of a join.
     """
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.session.timeZone", zone)
     spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     bars = (
         spark.read.option("recursiveFileLookup", "true")
@@ -101,16 +126,18 @@ def scan_foreign_bars(spark: SparkSession, root: str, freq: str) -> DataFrame:
 
 
 def load_security_master(lake: Lake) -> DataFrame:
-    """Security master; seven empty columns where it does not exist."""
-    return lake.table("security_master", schemas.SECURITY_MASTER)
+    """Security master with all columns stored; seven empty ones where it does not exist."""
+    return lake.table("security_master", schemas.SECURITY_MASTER, extras=True)
 
 
 def load_splits(lake: Lake) -> DataFrame:
-    return lake.table("splits", schemas.SPLITS)
+    """Split events with all columns stored."""
+    return lake.table("splits", schemas.SPLITS, extras=True)
 
 
 def load_dividends(lake: Lake) -> DataFrame:
-    return lake.table("dividends", schemas.DIVIDENDS)
+    """Dividend events with all columns stored."""
+    return lake.table("dividends", schemas.DIVIDENDS, extras=True)
 
 
 def load_split_ratio_table(

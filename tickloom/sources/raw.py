@@ -112,7 +112,7 @@ def file_format(path: str) -> str:
         return "csv"
     if suffixes[-1:] == [".parquet"]:
         return "parquet"
-    raise ValueError(f"Unsupported flat file extension: {PurePosixPath(path).name}")
+    raise ValueError(f"no reader for {PurePosixPath(path).name}")
 
 
 def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -156,14 +156,14 @@ def bars_from_files(
     staged as Parquet, so that text is decompressed and parsed once and the input order is
     fixed once; the first look then reads one column of the staged table.
     """
-    return normalize_scan(scan_files(spark, paths), len(paths), materialize)
+    return normalize_scan(scan_files(spark, paths), materialize)
 
 
-def normalize_scan(raw: DataFrame, file_count: int, materialize: bool) -> DataFrame:
+def normalize_scan(raw: DataFrame, materialize: bool) -> DataFrame:
     """``normalize_bars`` per source file of a scan, optionally staged before."""
     if materialize:
         raw = stage(raw, "raw")
-    return normalize_bars(raw, per=SOURCE_FILE, file_count=file_count)
+    return normalize_bars(raw, per=SOURCE_FILE)
 
 
 def fetch_day(
@@ -179,5 +179,5 @@ def fetch_day(
     root = raw_root(lake_root, vendor, freq, prefix)
     found = list_files(spark, root, ext).where(F.col("date") == F.lit(day)).collect()
     if not found:
-        raise FileNotFoundError(f"Missing flat file: {root}/{file_key('', day, ext)[1:]}")
+        raise FileNotFoundError(f"no raw file of {day} below {root}")
     return bars_from_files(spark, sorted(r.path for r in found))

@@ -18,6 +18,7 @@ from tickloom.functions.scalars import freq_checked
 from tickloom.operators import ledger as led
 from tickloom.operators.normalize import canonical_names
 from tickloom.plans.jobs import RawSource, ingest
+from tickloom.session import scratch_run
 from tickloom.sinks import lake as sink
 from tickloom.sources import raw
 from tickloom.sources.lake import Lake, load_ledger
@@ -38,7 +39,7 @@ def stream_bars(
 
     ``columns`` is the header of the day files, in order; another header fails. Only files
     of trading days are ingested. A day that arrives again, or in several files, adds the
-    bars it did not have yet.
+    bars it did not have yet, and is ranked anew from all of its bars.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     files = (
@@ -52,7 +53,8 @@ def stream_bars(
     )
 
     def take(batch: DataFrame, _: int) -> None:
-        _ingest_batch(lake, batch, freq, write_universe_snapshots, max_files_per_trigger)
+        with scratch_run(lake.spark, lake.path("staging")):
+            _ingest_batch(lake, batch, freq, write_universe_snapshots)
 
     return (
         files.select("*", F.col("_metadata.file_path").alias(_PATH),
@@ -64,15 +66,13 @@ def stream_bars(
     )
 
 
-def _ingest_batch(
-    lake: Lake, batch: DataFrame, freq: str, snapshots: bool, file_count: int
-) -> None:
+def _ingest_batch(lake: Lake, batch: DataFrame, freq: str, snapshots: bool) -> None:
     vendor = [c for c in batch.columns if c not in (_PATH, _BLOCK)]
     names = dict(zip(vendor, canonical_names(vendor), strict=True))
     renamed = batch.toDF(*[names.get(c, c) for c in batch.columns])
     rows = raw.with_source(renamed, F.col(_PATH), F.col(_BLOCK)).drop(_PATH, _BLOCK)
     rows = rows.where(cal.is_session(raw.TRADING_DAY))
-    bars = raw.normalize_scan(rows, file_count, materialize=True)
+    bars = raw.normalize_scan(rows, materialize=True)
     staged = ingest(lake, bars, freq, snapshots).staged
     days = staged.select(F.col(raw.TRADING_DAY).alias("date")).distinct()
     fresh = led.missing_days(days, load_ledger(lake), freq)
