@@ -258,6 +258,7 @@ def with_licenses(
         found = [licenses_in(x.as_py() or "", templates) for x in texts]
         return pa.array([[dict(zip(names, x)) for x in one] for one in found], _ARROW)
 
+    scan = scan.asNondeterministic()  # else Spark calls it once to filter and once to read
     text = whole(text_col)
     return docs.withColumn(out, scan(F.when(text.rlike(CUES), text).otherwise("")))
 
