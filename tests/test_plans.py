@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import merge, universe
+from tickloom.operators.actions import apply_price_adjustments
 from tickloom.operators.panel import adjusted_price_panel, price_panel
 from tickloom.sinks import lake as sink
 from tickloom.sources.lake import Lake, scan_bars
@@ -107,3 +108,36 @@ def test_rank_of_a_hot_day_is_spread(spark, big_joins):
     assert "hashpartitioning(date" in plan and "_cut" in plan
     windows = re.findall(r"Window \[row_number\(\) windowspecdefinition\((.*?)ASC", plan)
     assert windows and all("_cut" in w for w in windows)
+
+
+def exchanged_columns(plan):
+    """The hash exchanges of the final plan, with what they are keyed by."""
+    return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\), (\w+)", plan)
+
+
+def test_dense_daily_rows_are_exchanged_once(spark, big_joins):
+    actions = spark.createDataFrame([("HOT", date(2024, 1, 3))], "symbol string, date date")
+    df = adjusted_price_panel(
+        skewed_bars(spark),
+        actions.withColumn("split_ratio", F.lit(0.5)),
+        actions.withColumn("cash_amount", F.lit(0.01)),
+        "1d", SYMBOLS, *SPAN,
+    )
+    plan = final_plan(df)
+    keys = exchanged_columns(plan)
+    by_symbol = [how for key, how in keys if re.fullmatch(r"symbol#\d+", key)]
+    assert by_symbol == ["REPARTITION_BY_COL"]
+    # besides, only the distinct timestamps are exchanged
+    assert all(re.fullmatch(r"(symbol|timestamp)#\d+", key) for key, _ in keys)
+    assert "Join" not in plan
+
+
+def test_adjustments_scan_the_panel_twice(spark, big_joins, tmp_path):
+    prices = skewed_bars(spark).select("timestamp", "symbol", "close")
+    prices.write.parquet(f"{tmp_path}/panel")
+    panel = spark.read.parquet(f"{tmp_path}/panel")
+    events = spark.createDataFrame([("HOT", date(2024, 1, 3))], "symbol string, date date")
+    df = apply_price_adjustments(
+        panel, events.withColumn("split_ratio", F.lit(0.5)), events.withColumn("cash_amount", F.lit(0.01))
+    )
+    assert final_plan(df).count("FileScan parquet") == 2

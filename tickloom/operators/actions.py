@@ -166,11 +166,6 @@ def add_factors(days: DataFrame, splits: bool = True, dividends: bool = True) ->
     return days.withColumns(products).drop(*[f"{n}_step" for n in steps])
 
 
-def _on_panel_dates(events: DataFrame, days: DataFrame) -> DataFrame:
-    """Events on dates the panel has (for any symbol); other dates move nothing."""
-    return events.join(days.select("date").distinct(), "date", "left_semi")
-
-
 def action_days(
     panel: DataFrame,
     field: str,
@@ -178,17 +173,38 @@ def action_days(
     cash_dividends: DataFrame | None = None,
 ) -> DataFrame:
     """One row per symbol and date of panel or event, with ``px``, ``split_ratio``,
-    ``cash_amount``. The outer join keeps an event on a date where the symbol itself has
-    no row but the panel does, as a dense panel would."""
-    days = daily_last(panel, field)
-    out = days
+    ``cash_amount``.
+
+    Panel rows and events meet in one aggregate, so the panel is read once. An event stays on
+    a date where the symbol itself has no row but the panel does, as a dense panel would have
+    it; events on dates that the panel does not have for any symbol move nothing.
+    """
+    value = not_nan(F.col(field)) if _is_floating(panel, field) else F.col(field)
+    no_px, no_action = F.lit(None).cast(panel.schema[field].dataType), F.lit(None).cast("double")
+    rows = panel.select(
+        "symbol",
+        F.to_date("timestamp").alias("date"),
+        "timestamp",
+        value.alias("px"),
+        no_action.alias("split_ratio"),
+        no_action.alias("cash_amount"),
+    )
     for events, col in ((split_ratios, "split_ratio"), (cash_dividends, "cash_amount")):
-        if events is None:
-            out = out.withColumn(col, F.lit(None).cast("double"))
-        else:
-            kept = _on_panel_dates(events.select("date", "symbol", col), days)
-            out = out.join(kept, KEYS, "full")
-    return out
+        if events is not None:
+            amounts = [F.col(c) if c == col else no_action for c in ("split_ratio", "cash_amount")]
+            rows = rows.union(
+                events.select("symbol", "date", F.lit(None).cast("timestamp"), no_px, *amounts)
+            )
+    days = rows.groupBy(*KEYS).agg(
+        F.max_by("px", F.when(F.col("px").isNotNull(), F.col("timestamp"))).alias("px"),
+        F.max("split_ratio").alias("split_ratio"),
+        F.max("cash_amount").alias("cash_amount"),
+        F.max(F.col("timestamp").isNotNull()).alias("on_panel"),
+    )
+    if split_ratios is not None or cash_dividends is not None:
+        any_symbol = Window.partitionBy("date")
+        days = days.withColumn("on_panel", F.max("on_panel").over(any_symbol)).where("on_panel")
+    return days.drop("on_panel")
 
 
 def action_quality(days: DataFrame) -> DataFrame:

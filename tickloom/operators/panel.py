@@ -197,29 +197,51 @@ def _kind(rows: DataFrame, field: str) -> str:
 
 
 def _daily_panel(rows, req, splits, dividends, quality) -> DataFrame:
-    if len(req.fields) > 1:
-        rows = _averaged(rows, ["timestamp", "symbol"], req.fields)
+    """Bars, the grid and the actions are dealt by symbol once, as one table; what belongs to
+    one symbol and time, or to one symbol and date, then meets inside that partitioning."""
+    asked = _actions_asked(req, splits, dividends)
+    kinds = {f: rows.schema[f].dataType for f in req.fields}
+    kinds |= {col: table.schema[col].dataType for table, col in asked}
+
+    def side(df: DataFrame, **have: Column) -> DataFrame:
+        """Columns of the common table; null where this side has none."""
+        cols = {"timestamp": F.lit(None).cast("timestamp"), "has_bar": F.lit(None).cast("boolean")}
+        cols |= {c: F.lit(None).cast(kind) for c, kind in kinds.items()}
+        cols |= {"date": F.to_date("timestamp")} if "timestamp" in have else {}
+        cols |= have
+        return df.select("symbol", *[c.alias(name) for name, c in sorted(cols.items())])
+
+    stamp = {"timestamp": F.col("timestamp")}
+    bars = side(rows, **stamp, has_bar=F.lit(True), **{f: F.col(f) for f in req.fields})
     # Every observed timestamp for every asked symbol; the list is part of the request.
     grid = rows.select("timestamp").distinct().select(
         "timestamp", F.explode(F.lit(list(req.symbols))).alias("symbol")
     )
-    panel = grid.join(rows.withColumn("has_bar", F.lit(True)), ["timestamp", "symbol"], "left")
-    asked = _actions_asked(req, splits, dividends)
+    parts = bars.union(side(grid, **stamp))
+    for table, col in asked:
+        parts = parts.union(side(table, date=F.col("date"), **{col: F.col(col)}))
+    parts = parts.repartition("symbol")
+    names = [col for _, col in asked]
     if asked:
-        panel = panel.withColumn("date", F.to_date("timestamp"))
-        for table, _ in asked:
-            panel = panel.join(table, ["symbol", "date"], "left")
-
-    whole = Window.partitionBy("symbol").orderBy("timestamp")
-    whole = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        same_day = Window.partitionBy("symbol", "date")
+        parts = parts.withColumns({c: F.max(c).over(same_day) for c in names})
+    meet = F.max if len(req.fields) == 1 else F.avg
+    panel = (
+        parts.where(F.col("timestamp").isNotNull())
+        .groupBy("symbol", "timestamp")
+        .agg(
+            F.max("date").alias("date"),
+            F.count("has_bar").alias("n_bars"),
+            *[meet(f).alias(f) for f in req.fields],
+            *[F.max(c).alias(c) for c in names],
+        )
+    )
     by_time = Window.partitionBy("symbol").orderBy("timestamp")
-    cols = {"observed": F.max("has_bar").over(whole)}
-    for field in req.fields:
-        value = F.col(field)
-        if len(req.fields) == 1:
-            again = F.lag("timestamp").over(by_time) == F.col("timestamp")
-            value = _duplicate_guard(value, F.coalesce(again, F.lit(False)), _kind(rows, field))
-        cols[field] = value
+    whole = by_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = {"observed": F.max(F.col("n_bars") > 0).over(whole)}
+    if len(req.fields) == 1:
+        (field,) = req.fields
+        cols[field] = _duplicate_guard(F.col(field), F.col("n_bars") > 1, _kind(rows, field))
     panel = panel.withColumns(cols).where("observed")
     if req.fill:
         upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
