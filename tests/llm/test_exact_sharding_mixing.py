@@ -30,6 +30,12 @@ def test_digests_that_agree_without_proof_are_not_merged(spark):
     assert got == {(5, 2), (4, 1)}
 
 
+def test_merges_are_of_sorted_runs(spark):
+    runs = exact.digest_runs(spark.createDataFrame([(1, "a"), (2, "a")], "doc_id long, text string"))
+    plan = exact.merge_runs(runs, 64)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("SortAggregate") == 2 * 3 and "HashAggregate" not in plan
+
+
 def test_longest_first_is_the_greedy_schedule():
     got = sharding.longest_first([("a", 7), ("b", 6), ("c", 5), ("d", 4), ("e", 3)], 2)
     assert got == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 0}

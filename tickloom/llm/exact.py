@@ -39,20 +39,23 @@ def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def merge_runs(runs: DataFrame, n_runs: int, fan_in: int = FAN_IN) -> DataFrame:
     """Merge runs in rounds until one is left: digest, proof, keep_id, group_size.
 
-    In round r the runs whose numbers share all but their last r digits (base `fan_in`) meet. Each merge keeps
-    the smallest identifier and the number of rows of a digest, so a group of copies is one row per run from the
-    first round on. The runs of a merge are dealt by digest, so that no task sees a whole run of the corpus.
+    In round r the runs whose numbers share all but their last r digits (base `fan_in`) meet. A merge is a sort
+    aggregate, which the struct of the identifier calls for: each task sorts its part of a run by digest and collapses
+    equal neighbours before it sends them, and what arrives is merged in order and collapsed again, on disk where
+    memory ends. It keeps the smallest identifier and the number of rows of a digest with equal proof, so a group of
+    copies is one row per run from the first round on. The runs of a merge are dealt by digest, so that no task sees
+    a whole run of the corpus.
     """
-    level = runs.groupBy("run", "digest", "proof").agg(
-        F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
-    )
-    for _ in range(max(1, ceil(log(max(n_runs, 1), fan_in) - 1e-9))):
-        level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in))
-            .groupBy("run", "digest", "proof")
-            .agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        )
-    return level.drop("run")
+    level = runs.select("run", "digest", "proof", _who("id"), F.lit(1).cast("long").alias("rows"))
+    for _ in range(max(1, ceil(log(max(n_runs, 1), fan_in) - 1e-9)) + 1):
+        level = level.groupBy("run", "digest", "proof").agg(F.min("who").alias("who"), F.sum("rows").alias("rows"))
+        level = level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
+    return level.select("digest", "proof", F.col("who.id").alias("keep_id"), F.col("rows").alias("group_size"))
+
+
+def _who(id_col: str) -> Column:
+    """An identifier in an order that puts null last."""
+    return F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id")).alias("who")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = FAN_IN) -> DataFrame:
