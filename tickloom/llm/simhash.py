@@ -272,4 +272,5 @@ def one_of_each(
     best = prints.groupBy("fp").agg(F.min("who").alias("who"))
     stays = best.join(fingerprint_groups(prints, radius), "fp").groupBy("root").agg(F.min("who").alias("who"))
     stays = stage(stays.select(F.col("who.row").alias("stays")), "simhash-stays")
-    return docs.join(stays, docs[row] == stays["stays"], "left_semi").drop(fp, row)
+    # one of two documents or so stays: a table that grows with the documents is not broadcast
+    return docs.join(stays.hint("merge"), docs[row] == stays["stays"], "left_semi").drop(fp, row)
