@@ -9,7 +9,8 @@ from tickloom.llm.common import stage
 
 
 def _least_neighbour(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.min("v").alias("m"))
+    """(u, m); dealt anew, so that a join on u has its own exchange, whose hot partitions Spark can split."""
+    return links.groupBy("u").agg(F.min("v").alias("m")).repartition(F.xxhash64("u"))
 
 
 def _state(links: DataFrame) -> tuple:
