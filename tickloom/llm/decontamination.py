@@ -125,7 +125,8 @@ def _found(text_col: str, items: tuple[tuple[int, str], ...], rate: float):
             [[{"item_id": i, "distance": d} for i, d in match(normalised(x.as_py()))] for x in texts], _FOUND
         )
 
-    return find(whole(text_col))
+    # else Spark calls it once to filter and once to read
+    return find.asNondeterministic()(whole(text_col))
 
 
 def item_passes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[tuple]:
