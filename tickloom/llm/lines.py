@@ -124,8 +124,9 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """
     halves = distinct.select(*_LINE, F.explode("keys").alias("key"))
     known = _shared(halves, "key").select(*_LINE).distinct()
-    texts = lines.select(*_LINE, "line").join(known, _LINE, "left_semi").groupBy(*_LINE).agg(F.first("line").alias("line"))
-    texts = stage(texts.join(distinct.select(*_LINE, "at"), _LINE), "near-lines")
+    first = distinct.select("at", *_LINE).join(known, _LINE)
+    # only the first place of a line is read, so a line that is everywhere is one row here
+    texts = stage(lines.select("at", *_LINE, "line").join(first, ["at", *_LINE]), "near-lines")
     variants = _variants(_shared(_windows(texts), "around"))
     group = Window.partitionBy("g1", "g2")
     who = F.struct("at", *_LINE)
