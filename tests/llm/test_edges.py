@@ -95,3 +95,30 @@ def test_stages_take_awkward_documents(spark, awkward, tables):
 def test_stages_take_empty_documents(spark, empty, tables):
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, empty, tables).count() == 0
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    """A session started elsewhere, with the package only on the driver's own path."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from tickloom.session import local_session
+from tickloom.llm import decontamination, html, licenses, simhash, toxicity
+spark = local_session(2, 2)
+docs = spark.createDataFrame([(1, "you idiot"), (2, "Released under the MIT License.")], "doc_id long, text string")
+items = spark.createDataFrame([(1, "you idiot")], "item_id long, text string")
+labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+pages = spark.createDataFrame([(1, "http://a.b/c", "<p>x</p>")], "page_id long, url string, html string")
+found = [simhash.simhash_classes(docs), simhash.one_of_each(docs), decontamination.contaminated(docs, items),
+         toxicity.scored(docs, labels), licenses.notices(docs), html.extracted(pages)]
+print([x.count() for x in found])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    root = str(Path(__file__).resolve().parents[2])
+    run = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert run.stdout.split("\n")[-2] == "[2, 2, 1, 2, 1, 1]", run.stderr[-2000:]

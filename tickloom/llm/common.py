@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from tickloom.session import stage
 #: The white space of the contracts: space, tab, line feed, vertical tab, form feed, return.
 SPACE = r"[\x20\x09-\x0D]"
 
-__all__ = ["SPACE", "apart", "identity", "stage", "table", "whole"]
+__all__ = ["SPACE", "apart", "importable", "stage", "table", "whole"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +26,18 @@ def whole(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def identity(text: Column) -> list[Column]:
-    """Two independent 64-bit hashes and the length: equal texts, for all practical numbers of rows."""
-    return [F.xxhash64(text), F.xxhash64(F.lit("second"), text), F.octet_length(text)]
+def importable(df: DataFrame) -> DataFrame:
+    """The frame; from now on Python workers look for this package where the driver has it.
+
+    That is needed where the driver was started from another folder and the package is not installed. A cluster
+    without that folder gets the package as it does others (installed, or by --py-files).
+    """
+    environment = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df
 
 
 def apart(taken: Iterable[str], *names: str) -> list[str]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import apart, whole
+from tickloom.llm.common import apart, importable, whole
 
 #: Edits allowed for each character of a test item.
 ERROR_RATE = 0.06
@@ -157,6 +157,7 @@ def with_items(
     empty items, and items without an identifier, are nowhere. Items that share an identifier count as one, with the
     least distance. Repeated rows get the same answer. No rows are moved between tasks.
     """
+    importable(docs)
     found = [_found(text_col, items, rate) for items in item_passes(benchmark, item_col, item_text_col)]
     return docs.withColumn(out, F.array_sort(F.concat(*found)))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import whole
+from tickloom.llm.common import importable, whole
 
 #: Licence notices, and the grants of the short licences (fixed values): (licence, text). <...> stands for any words.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -260,7 +260,7 @@ def with_licenses(
 
     scan = scan.asNondeterministic()  # else Spark calls it once to filter and once to read
     text = whole(text_col)
-    return docs.withColumn(out, scan(F.when(text.rlike(CUES), text).otherwise("")))
+    return importable(docs).withColumn(out, scan(F.when(text.rlike(CUES), text).otherwise("")))
 
 
 def notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import apart, stage, whole
+from tickloom.llm.common import apart, importable, stage, whole
 from tickloom.llm.graph import components
 
 BITS = 64
@@ -239,6 +239,7 @@ def simhash_classes(
     where all identifiers of a component are. Null and empty texts have fingerprint zero and are linked like any other.
     Repeated rows come back as often as they are. Other columns are not read; an empty table gives an empty result.
     """
+    docs = importable(docs)
     prints = stage(
         docs.select(F.col(id_col).alias("id"), fingerprint_column(text_col, shingle).alias("fp")), "simhash"
     )
@@ -261,10 +262,9 @@ def one_of_each(
 
     The row with the smallest identifier stays, a null identifier last; among rows that repeat it, the first as read.
     """
-    spark = docs.sparkSession
     fp, row = apart(docs.columns, "fp", "row")
     docs = stage(
-        docs.withColumn(fp, fingerprint_column(text_col, shingle)).withColumn(row, F.monotonically_increasing_id()),
+        importable(docs).withColumn(fp, fingerprint_column(text_col, shingle)).withColumn(row, F.monotonically_increasing_id()),
         "simhash-documents",
     )
     who = F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"), F.col(row).alias("row"))

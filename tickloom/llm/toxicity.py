@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import whole
+from tickloom.llm.common import importable, whole
 
 #: Labelled documents of each class that the model is fitted on, at most, chosen by a hash of their identifier.
 FIT_ROWS = {0: 4000, 1: 2000}
@@ -193,9 +193,15 @@ def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))).select(
         F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")
     )
-    order = F.xxhash64(F.lit("fit"), "i")
-    chosen = [known.where(F.col("y") == y).orderBy(order, "i").limit(n) for y, n in FIT_ROWS.items()]
-    chosen = F.broadcast(chosen[0].union(chosen[1]))  # FIT_ROWS bounds it
+    draw = F.pmod(F.xxhash64(F.lit("fit"), "i"), F.lit(1 << 50)) / float(1 << 50)
+    known = known.withColumn("draw", draw)
+    there = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    # the smallest draws of a class; the bound on the draw keeps tasks from all sending that many
+    chosen = [
+        known.where((F.col("y") == y) & (F.col("draw") <= 3 * n / there.get(y, 1))).orderBy("draw", "i").limit(n)
+        for y, n in FIT_ROWS.items()
+    ]
+    chosen = F.broadcast(chosen[0].union(chosen[1]).select("i", "y"))  # FIT_ROWS bounds it
     return docs.select(F.col(id_col).alias("i"), whole(text_col).alias("text")).join(chosen, "i").select("text", "y")
 
 
@@ -268,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Without labels of both classes the lexicon is empty and every score is the share of toxic labels (0 without any).
     """
-    rows = fit_rows(docs, labels, id_col, text_col, label_col)
+    rows = fit_rows(importable(docs), labels, id_col, text_col, label_col)
     terms = learn_terms(rows)
     got = rows.select(_vector("text", terms).alias("v"), "y").collect()
     if not got or not terms:
@@ -279,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def with_score(docs: DataFrame, model: tuple, out: str = "score", text_col: str = "text") -> DataFrame:
     """The documents with their score, 0 to 1, from the whole text alone. Null counts as empty; no rows are moved."""
-    return docs.withColumn(out, _score(text_col, *model))
+    return importable(docs).withColumn(out, _score(text_col, *model))
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
