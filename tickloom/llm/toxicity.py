@@ -189,7 +189,7 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(text, y) of at most FIT_ROWS labelled documents of each class."""
+    """(text, y) of at most FIT_ROWS labelled documents of each class; with both labels a document is toxic."""
     known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))).select(
         F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")
     )
@@ -202,7 +202,9 @@ def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
         for y, n in FIT_ROWS.items()
     ]
     chosen = F.broadcast(chosen[0].union(chosen[1]).select("i", "y"))  # FIT_ROWS bounds it
-    return docs.select(F.col(id_col).alias("i"), whole(text_col).alias("text")).join(chosen, "i").select("text", "y")
+    texts = docs.select(F.col(id_col).alias("i"), whole(text_col).alias("text")).join(chosen, "i")
+    # one row of an identifier, however often it comes
+    return texts.groupBy("i").agg(F.min("text").alias("text"), F.max("y").alias("y")).select("text", "y")
 
 
 def learn_terms(rows: DataFrame) -> tuple[tuple[str, bool, float], ...]:
