@@ -17,8 +17,8 @@ from tickloom.llm.common import importable, whole
 FIT_ROWS = {0: 4000, 1: 2000}
 #: Terms of the lexicon at most, the best first.
 LEXICON = 400
-#: Labelled toxic documents a term must occur in.
-LEAST_DOCS = 4
+#: Labelled toxic documents a term must occur in: so many, and such a share of them.
+LEAST_DOCS, LEAST_SHARE = 4, 0.005
 #: Letters of a stem: a lexicon term that stands for all words that begin with it.
 STEM = range(4, 9)
 #: Words before and after a hit that tell quotation from abuse.
@@ -204,7 +204,10 @@ def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     chosen = F.broadcast(chosen[0].union(chosen[1]).select("i", "y"))  # FIT_ROWS bounds it
     texts = docs.select(F.col(id_col).alias("i"), whole(text_col).alias("text")).join(chosen, "i")
     # one row of an identifier, however often it comes
-    return texts.groupBy("i").agg(F.min("text").alias("text"), F.max("y").alias("y")).select("text", "y")
+    texts = texts.groupBy("i").agg(F.min("text").alias("text"), F.max("y").alias("y"))
+    # and one of equal texts: copies of one toxic text would make all of its words telling
+    same = [F.xxhash64("text"), F.xxhash64(F.lit("second"), "text")]
+    return texts.groupBy(*same).agg(F.min("text").alias("text"), F.max("y").alias("y")).select("text", "y")
 
 
 def learn_terms(rows: DataFrame) -> tuple[tuple[str, bool, float], ...]:
@@ -213,6 +216,9 @@ def learn_terms(rows: DataFrame) -> tuple[tuple[str, bool, float], ...]:
     The weight is the log ratio of the shares of documents; a term needs a log-likelihood ratio that chance does not
     give. A stem replaces the words it covers where it is as telling as they are.
     """
+    n = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    if not n.get(1) or not n.get(0):
+        return ()
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_@$]+"))
     seen = rows.select("y", F.explode(words).alias("w")).where(F.length("w") >= 3)
     stems = F.transform(
@@ -225,12 +231,8 @@ def learn_terms(rows: DataFrame) -> tuple[tuple[str, bool, float], ...]:
         seen.select("y", F.explode(terms).alias("x"))
         .groupBy("x")
         .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other"))
-        .where(F.col("toxic") >= LEAST_DOCS)
+        .where(F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * n[1]))
     )
-    size = rows.groupBy("y").count().collect()
-    n = {r["y"]: r["count"] for r in size}
-    if not n.get(1) or not n.get(0):
-        return ()
     ratio = F.log((F.col("toxic") + 0.5) / (n[1] + 1.0)) - F.log((F.col("other") + 0.5) / (n[0] + 1.0))
     best = (
         counts.withColumn("weight", ratio)
