@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -77,6 +78,15 @@ def test_notices_are_found_and_told_apart():
     assert [x[0] for x in two] == ["MIT", "CC-BY-NC-4.0"]
 
 
+@pytest.mark.parametrize("name, text", licenses.TEMPLATES)
+def test_notices_are_found_in_wrapped_lines(name, text):
+    for mark in ("", " * ", "# "):
+        for width in (72, 40):
+            wrapped = textwrap.fill(text, width, initial_indent=mark, subsequent_indent=mark)
+            found = licenses.licenses_in(f"some prose here.\n\n{wrapped}\n\nmore prose there")
+            assert [f[0] for f in found] == [name], wrapped
+
+
 def test_notices_of_the_test_table(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     names = {"CC BY-NC 4.0": "CC-BY-NC-4.0", "MIT License": "MIT", "GNU General Public License, version 3": "GPL-3.0",

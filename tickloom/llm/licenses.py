@@ -77,10 +77,10 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Proprietary", "All rights reserved."),
 )
 
-#: What a line must hold to be part of a candidate block.
+#: What every notice holds, whatever its lines end on.
 CUES = (
-    r"(?i)licen[cs]|public domain|creative commons|copyright|hereby granted|free software|all rights reserved"
-    r"|redistribut|without restriction|sublicen[cs]e|spdx|\bcc0\b|warrant"
+    r"(?i)licen[cs]|public\W+domain|creative\W+commons|copyright|hereby\W+granted|free\W+software|all\W+rights\W+reserved"
+    r"|redistribut|without\W+restriction|sublicen[cs]e|spdx|\bcc0\b|warrant"
 )
 #: Templates with the largest reductions whose wording is compared.
 RANKED = 5
@@ -88,13 +88,26 @@ RANKED = 5
 DIFFERENCES = 0.1
 
 _WORD = re.compile(r"[\w.+/:-]*\w")
+#: Between the halves of a word that was wrapped at its hyphen.
+_WRAPPED = re.compile(r"-[ \t\r]*\n[^\w\n]*")
 #: Words that tell one licence from another: names and versions. None of them may be missing or replaced.
 _TELLING = re.compile(r"\d|^(?:apache|mit|bsd|isc|gnu|lesser|affero|general|mozilla|mpl|gpl|cc0?|by|by-.*|attribution.*)$")
 
 
-def words(text: str) -> list[tuple[str, int, int]]:
-    """Lower-case words with their places; a full stop that ends a word is not part of it."""
-    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+def words(text: str, known: frozenset[str] = frozenset()) -> list[tuple[str, int, int]]:
+    """Lower-case words with their places; a full stop that ends a word is not part of it.
+
+    The halves of a word that a line end cuts at its hyphen are one word where that is a known one.
+    """
+    out = []
+    for m in _WORD.finditer(text):
+        if out and text[out[-1][2]] == "-" and _WRAPPED.fullmatch(text, out[-1][2], m.start()):
+            whole_word = f"{out[-1][0]}-{m[0].lower()}"
+            if whole_word in known:
+                out[-1] = whole_word, out[-1][1], m.end()
+                continue
+        out.append((m[0].lower(), m.start(), m.end()))
+    return out
 
 
 def differences(template: list[str], block: list[str]) -> tuple[list[str], list[str], int, int] | None:
@@ -137,6 +150,7 @@ class Templates:
     def __init__(self, templates: tuple[tuple[str, str], ...], level: int = 9):
         self.names = [name for name, _ in templates]
         self.words = [[w for w, _, _ in words(text)] for _, text in templates]
+        self.known = frozenset(w for one in self.words for w in one)
         self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
         kind = zstandard.DICT_TYPE_RAWCONTENT
         self.given = [
@@ -150,7 +164,7 @@ class Templates:
 
     def scan(self, block: str) -> list[tuple[str, float, int, int, str, str]]:
         """(licence, reduction, start, end, missing, added) of the confirmed winners, apart from each other."""
-        found = words(block)
+        found = words(block, self.known)
         tokens = [w for w, _, _ in found]
         text = " ".join(tokens).encode()
         plain = len(self.plain.compress(text))
@@ -183,34 +197,20 @@ def _templates(templates: tuple[tuple[str, str], ...]) -> Templates:
     return Templates(templates)
 
 
-#: Characters around a cue in which the notice lies: every template has a cue and is shorter than this.
+#: Characters around a cue in which the notice lies, across line ends: every template has a cue and is shorter than this.
 REACH = 1000
 
 
 def blocks(text: str, cue: re.Pattern) -> Iterator[tuple[int, str]]:
-    """(place, block): runs of lines with a cue; one line without any may lie between two that have one.
-
-    Of a long run, the parts within REACH of a cue.
-    """
-    runs, at, gap = [], 0, 2
-    for line in text.split("\n"):
-        if cue.search(line):
-            if gap < 2:
-                runs[-1][1] = at + len(line)
-            else:
-                runs.append([at, at + len(line)])
-            gap = 0
-        else:
-            gap += 1
-        at += len(line) + 1
-    for first, last in runs:
-        start = end = None
-        for m in cue.finditer(text, first, last):
-            a, b = max(first, m.start() - REACH), min(last, m.end() + REACH)
-            if start is not None and a > end:
-                yield start, text[start:end]
-                start = None
-            start, end = a if start is None else start, b
+    """(place, block): the parts of the text within REACH of a cue, apart from each other."""
+    start = end = None
+    for m in cue.finditer(text):
+        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+        if start is not None and a > end:
+            yield start, text[start:end]
+            start = None
+        start, end = a if start is None else start, b
+    if start is not None:
         yield start, text[start:end]
 
 
