@@ -87,6 +87,16 @@ def test_notices_are_found_in_wrapped_lines(name, text):
             assert [f[0] for f in found] == [name], wrapped
 
 
+def test_every_notice_of_a_block_is_found():
+    for text, sep in (("Released under the MIT License.", "\n"), ("Released under the MIT License.", " ")):
+        found = licenses.licenses_in(sep.join([text] * 30))
+        assert [f[0] for f in found] == ["MIT"] * 30
+        assert [f[2] for f in found] == [i * (len(text) + 1) for i in range(30)]
+    for templates in (licenses.TEMPLATES, licenses.TEMPLATES[::-1], licenses.TEMPLATES * 3):
+        for sep in ("\n", "\n\n", " "):
+            assert [f[0] for f in licenses.licenses_in(sep.join(x for _, x in templates))] == [x for x, _ in templates]
+
+
 def test_notices_of_the_test_table(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     names = {"CC BY-NC 4.0": "CC-BY-NC-4.0", "MIT License": "MIT", "GNU General Public License, version 3": "GPL-3.0",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -82,8 +83,6 @@ CUES = (
     r"(?i)licen[cs]|public\W+domain|creative\W+commons|copyright|hereby\W+granted|free\W+software|all\W+rights\W+reserved"
     r"|redistribut|without\W+restriction|sublicen[cs]e|spdx|\bcc0\b|warrant"
 )
-#: Templates with the largest reductions whose wording is compared.
-RANKED = 5
 #: Words of a template that may be missing, or come between its words, as a share of its words.
 DIFFERENCES = 0.1
 
@@ -110,38 +109,75 @@ def words(text: str, known: frozenset[str] = frozenset()) -> list[tuple[str, int
     return out
 
 
-def differences(template: list[str], block: list[str]) -> tuple[list[str], list[str], int, int] | None:
-    """(missing, added, first, last + 1): the fewest words to delete from the template and to add to it so that it
-    reads as a part of the block, and that part. None if no word is shared."""
-    m, n = len(template), len(block)
-    # cost[j]: fewest differences of the template's words so far against a part of the block that ends before word j
-    cost, begin, steps = [0] * (n + 1), list(range(n + 1)), []
-    for i in range(m):
-        new, start, step = [cost[0] + 1], [begin[0]], ["m"]
-        for j in range(n):
-            best, at, how = cost[j + 1] + 1, begin[j + 1], "m"
-            if new[j] + 1 < best:
-                best, at, how = new[j] + 1, start[j], "a"
-            if template[i] == block[j] and cost[j] <= best:
-                best, at, how = cost[j], begin[j], "="
-            new.append(best)
-            start.append(at)
-            step.append(how)
-        cost, begin = new, start
-        steps.append(step)
-    end = min(range(n + 1), key=lambda j: (cost[j], j))
-    i, j, missing, added, shared = m - 1, end, [], [], 0
-    while i >= 0:
-        how = steps[i][j]
-        if how == "=":
-            i, j, shared = i - 1, j - 1, shared + 1
-        elif how == "a":
-            j -= 1
-            added.append(block[j])
-        else:
-            missing.append(template[i])
-            i -= 1
-    return (missing[::-1], added[::-1], j, end) if shared else None
+def places(template: list[str], block: list[str]) -> list[tuple[int, int, int, list[str], list[str]]]:
+    """(differences, first, last + 1, missing, added): the parts of the block that read as the template but for
+    DIFFERENCES, apart from each other. Of parts that overlap, the one with the fewest differences, then the first.
+
+    A difference is a word to delete from the template or to add to it; a telling word may be neither.
+    """
+    m, most = len(template), int(DIFFERENCES * len(template))
+    out = []
+    for low, high in _dense(template, block, most):
+        n = high - low
+        part, never = block[low:high], most + 1
+        lose = [never if _TELLING.search(w) else 1 for w in template]
+        more = [never if _TELLING.search(w) else 1 for w in part]
+        # cost[j]: fewest differences of the template's words so far against a part of the block that ends before word j
+        cost, begin, steps = [0] * (n + 1), list(range(n + 1)), []
+        for i in range(m):
+            new, start, step = [cost[0] + lose[i]], [begin[0]], ["m"]
+            for j in range(n):
+                best, at, how = cost[j + 1] + lose[i], begin[j + 1], "m"
+                if new[j] + more[j] < best:
+                    best, at, how = new[j] + more[j], start[j], "a"
+                if template[i] == part[j] and cost[j] <= best:
+                    best, at, how = cost[j], begin[j], "="
+                new.append(best)
+                start.append(at)
+                step.append(how)
+            cost, begin = new, start
+            steps.append(step)
+        ends = sorted((cost[j], j) for j in range(n + 1) if cost[j] <= most and begin[j] < j)
+        free = [True] * n
+        for least, end in ends:
+            if not all(free[begin[end] : end]):
+                continue
+            free[begin[end] : end] = [False] * (end - begin[end])
+            i, j, missing, added = m - 1, end, [], []
+            while i >= 0:
+                how = steps[i][j]
+                if how == "=":
+                    i, j = i - 1, j - 1
+                elif how == "a":
+                    j -= 1
+                    added.append(part[j])
+                else:
+                    missing.append(template[i])
+                    i -= 1
+            out.append((least, low + begin[end], low + end, missing[::-1], added[::-1]))
+    return out
+
+
+def _dense(template: list[str], block: list[str], most: int) -> list[tuple[int, int]]:
+    """The parts of the block outside which no place can be: one with `most` differences has all but `most` words of the
+    template, within as many words as the template has and `most` more."""
+    m = len(template)
+    need, width = Counter(template), m + most
+    shared, out = 0, []
+    for j, word in enumerate(block):
+        if word in need:
+            need[word] -= 1
+            shared += need[word] >= 0
+        if j >= width and block[j - width] in need:
+            shared -= need[block[j - width]] >= 0
+            need[block[j - width]] += 1
+        if shared >= m - most:
+            low = max(0, j - width + 1)
+            if out and low <= out[-1][1]:
+                out[-1] = out[-1][0], j + 1
+            else:
+                out.append((low, j + 1))
+    return out
 
 
 class Templates:
@@ -150,6 +186,7 @@ class Templates:
     def __init__(self, templates: tuple[tuple[str, str], ...], level: int = 9):
         self.names = [name for name, _ in templates]
         self.words = [[w for w, _, _ in words(text)] for _, text in templates]
+        self.counts = [Counter(w) for w in self.words]
         self.known = frozenset(w for one in self.words for w in one)
         self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
         kind = zstandard.DICT_TYPE_RAWCONTENT
@@ -163,32 +200,49 @@ class Templates:
         ]
 
     def scan(self, block: str) -> list[tuple[str, float, int, int, str, str]]:
-        """(licence, reduction, start, end, missing, added) of the confirmed winners, apart from each other."""
+        """(licence, reduction, start, end, missing, added) of the confirmed winners, apart from each other.
+
+        What lies between them is scanned again, until nothing more is confirmed. The reduction is that of the part
+        of the block that was scanned.
+        """
         found = words(block, self.known)
         tokens = [w for w, _, _ in found]
-        text = " ".join(tokens).encode()
-        plain = len(self.plain.compress(text))
-        # bytes saved by each template, by the template's own length: a long template saves more by chance
-        saved = [(plain - len(c.compress(text)), i) for i, c in enumerate(self.given)]
-        ranked = sorted(saved, key=lambda x: (-x[0] / min(len(text), len(" ".join(self.words[x[1]]))), x[1]))
-        sure = []
-        for gain, i in [*ranked[:RANKED], *sorted(saved, key=lambda x: (-x[0], x[1]))[:RANKED]]:
-            got = differences(self.words[i], tokens) if gain > 0 else None
-            if not got:
-                continue
-            missing, added, a, b = got
-            if len(missing) + len(added) > DIFFERENCES * len(self.words[i]):
-                continue
-            if any(_TELLING.search(w) for w in [*missing, *added]):
+        out, todo = [], [(0, len(tokens))]
+        while todo:
+            low, high = todo.pop()
+            taken = self._winners(tokens[low:high])
+            for i, part, a, b, missing, added in taken:
+                place = found[low + a][1], found[low + b - 1][2]
+                out.append((self.names[i], part, *place, " ".join(missing), " ".join(added)))
+            if taken:
+                edges = [low, *(low + x for _, _, a, b, _, _ in taken for x in (a, b)), high]
+                todo += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
+        return sorted(out, key=lambda x: x[2])
+
+    def _winners(self, tokens: list[str]) -> list[tuple[int, float, int, int, list[str], list[str]]]:
+        """(template, reduction, first, last + 1, missing, added) in order: the longest places that do not overlap.
+
+        Every template that DIFFERENCES could still allow is compared by wording: one with all its telling words, and
+        all but so many of the others, in the part.
+        """
+        has = Counter(tokens)
+        text, plain, sure = " ".join(tokens).encode(), 0, []
+        for i, needed in enumerate(self.counts):
+            short = [(w, n - has[w]) for w, n in needed.items() if has[w] < n]
+            lacking = sum(n for _, n in short)
+            if lacking > DIFFERENCES * len(self.words[i]) or any(_TELLING.search(w) for w, _ in short):
                 continue
-            sure.append((len(missing) + len(added), -(b - a), i, a, b, gain, missing, added))
-        out, taken = [], []
-        for _, _, i, a, b, gain, missing, added in sorted(sure, key=lambda x: (x[1], x[0], x[2])):
-            if any(a < d and c < b for c, d in taken):
+            got = places(self.words[i], tokens)
+            if not got:
                 continue
-            taken.append((a, b))
-            place = found[a][1], found[b - 1][2]
-            out.append((self.names[i], gain / plain, *place, " ".join(missing), " ".join(added)))
+            plain = plain or len(self.plain.compress(text))
+            part = (plain - len(self.given[i].compress(text))) / plain
+            sure += [(a - b, least, -part, i, a, b, missing, added) for least, a, b, missing, added in got]
+        out, free = [], [True] * len(tokens)
+        for _, _, part, i, a, b, missing, added in sorted(sure, key=lambda x: x[:5]):
+            if all(free[a:b]):
+                free[a:b] = [False] * (b - a)
+                out.append((i, -part, a, b, missing, added))
         return sorted(out, key=lambda x: x[2])
 
 
