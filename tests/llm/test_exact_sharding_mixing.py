@@ -104,3 +104,10 @@ def test_mix_stays_in_the_jvm(spark):
     df = spark.createDataFrame([(1, "a b", "x")], "doc_id long, text string, source string")
     plan = mixing.mix(df.withColumn("n", F.lit(1)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_copies_go_by_row(spark):
+    docs = [(1, "copied"), (None, "copied"), (None, "unique"), (2, "copied"), (2, "another"), (3, None), (None, ""), (None, "unique")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [tuple(r) for r in exact.drop_copies(df).collect()]
+    assert sorted(got, key=str) == sorted([(1, "copied"), (None, "unique"), (None, "unique"), (2, "another"), (3, None)], key=str)

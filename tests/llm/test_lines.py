@@ -62,3 +62,10 @@ def test_no_python_on_the_path(spark):
     df = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
     plan = lines.line_report(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_lines_go_from_their_own_row_only(spark):
+    docs = [(1, "a common line"), (None, "a common line\nx"), (None, "unique text\ny"), (2, "unique\na common line"), (2, "p\nq")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(r.text for r in lines.drop_lines(df).collect())
+    assert got == sorted(["a common line", "x", "unique text\ny", "unique", "p\nq"])

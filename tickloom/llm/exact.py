@@ -7,7 +7,7 @@ from math import ceil, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import SPACE, stage, whole
+from tickloom.llm.common import SPACE, apart, stage, whole
 
 #: Runs that meet in one round of the tree.
 FAN_IN = 8
@@ -65,22 +65,34 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     has another; rows that repeat the smallest identifier share its decision (they are one document). Other columns
     are not read. An empty table gives an empty result.
     """
+    return _decided(docs, id_col, text_col, fan_in).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
+    )
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, fan_in: int = FAN_IN) -> DataFrame:
+    """One row per document: digest, proof, id, keep_id, group_size, kept."""
     runs = stage(digest_runs(docs, id_col, text_col), "digests")
     n_runs = (runs.agg(F.max("run")).first()[0] or 0) + 1
     groups = merge_runs(runs, n_runs, fan_in)
-    return (
-        runs.join(groups, ["digest", "proof"])
-        .select(
-            F.col("id").alias(id_col),
-            "keep_id",
-            "group_size",
-            F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
-            F.col("digest").alias("text_sha256"),
-        )
+    return runs.join(groups, ["digest", "proof"]).select(
+        "digest", "proof", "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone"]), "left_anti")
+    """The documents that stay, with all their columns.
+
+    A row goes by its identifier and its own text: other texts under the same or no identifier stay.
+    """
+    gone = _decided(docs, id_col, text_col).where(~F.col("kept")).select("id", "digest", "proof").distinct()
+    name, digest, proof = apart(docs.columns, "gone", "digest", "proof")
+    gone = gone.toDF(name, digest, proof)
+    text = normalised(docs[text_col])
+    same = (
+        docs[id_col].eqNullSafe(gone[name])
+        & (F.sha2(text, 256) == gone[digest])
+        & (F.xxhash64(text) == gone[proof]["hash"])
+        & (F.octet_length(text) == gone[proof]["bytes"])
+    )
+    return docs.join(gone, same, "left_anti")

@@ -16,15 +16,17 @@ NEAR_CHARS = 20
 PIECES = 8
 
 _LINE = ["h1", "h2"]
+_TEXT = ["t1", "t2"]
 
 
 def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line that is not blank: id, no, at (its place in the order of the corpus), h1, h2, line.
+    """One row per line that is not blank: id, no, at (its place in the order of the corpus), h1, h2, line, t1, t2 (its text).
 
     Lines are compared without the white space around them. Places order by identifier, then line number.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode(F.split(whole(text_col), "\n", -1)))
-    rows = rows.toDF("id", "no", "line").withColumn("line", F.btrim("line", F.lit(" \t\x0b\x0c\r")))
+    lines = F.posexplode(F.split(whole(text_col), "\n", -1))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), *_text_keys(whole(text_col)), lines)
+    rows = rows.toDF("id", *_TEXT, "no", "line").withColumn("line", F.btrim("line", F.lit(" \t\x0b\x0c\r")))
     order = F.coalesce(F.col("id").cast("decimal(20,0)"), F.lit(Decimal(2**63)))
     place = order * F.lit(Decimal(2**31)) + F.col("no")
     return rows.where(F.col("line") != "").select(
@@ -34,9 +36,14 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.xxhash64("line").alias("h1"),
         F.xxhash64(F.lit("second"), "line").alias("h2"),
         "line",
+        *_TEXT,
     )
 
 
+def _text_keys(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")]
+
+
 def _head(line: Column, n: Column) -> Column:
     return F.substring(line, F.lit(1), n)
 
@@ -151,13 +158,14 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     )
 
 
-def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per line that goes: id, no, near (false: an exact copy of an earlier line).
+def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False) -> DataFrame:
+    """One row per line that goes: id, no, near (false: an exact copy of an earlier line), by text also t1, t2.
 
     A line goes if an earlier line is equal to it, or is within one edit and both are compared by edits (NEAR_CHARS);
     the earliest of them stays. Earlier is by identifier, then line number, null identifiers last. Blank lines stay.
     Rows that repeat an identifier hold the same places, so equal lines of theirs go or stay together.
     """
+    more = _TEXT if by_text else []
     lines = line_rows(docs, id_col, text_col)
     near = F.length("line") >= NEAR_CHARS
     keyed = lines.withColumn("keys", F.when(near, _halves(F.col("line"))))
@@ -170,10 +178,10 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = distinct.join(close, _LINE, "left").where((F.col("n") > 1) | F.col("near"))
     marked = marked.select(*_LINE, F.col("at").alias("first_at"), F.coalesce("near", F.lit(False)).alias("near"))
     return (
-        lines.select("id", "no", "at", *_LINE)
+        lines.select("id", "no", "at", *_LINE, *more)
         .join(marked, _LINE)
         .where(F.col("near") | (F.col("at") != F.col("first_at")))
-        .select("id", "no", "near")
+        .select("id", "no", "near", *more)
     )
 
 
@@ -204,11 +212,17 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with their text without the lines that go; all rows and columns stay, a null text stays null."""
-    name, numbers = apart(docs.columns, "gone_id", "gone_lines")
-    gone = line_decisions(docs, id_col, text_col).groupBy(F.col("id").alias(name)).agg(F.collect_set("no").alias(numbers))
-    joined = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone[name]), "left")
+    """The documents with their text without the lines that go; all rows and columns stay, a null text stays null.
+
+    A line goes by its row's identifier and text: other texts under the same or no identifier keep theirs.
+    """
+    name, numbers, t1, t2 = apart(docs.columns, "gone_id", "gone_lines", *_TEXT)
+    gone = line_decisions(docs, id_col, text_col, by_text=True).groupBy("id", *_TEXT).agg(F.collect_set("no").alias("gone"))
+    gone = gone.toDF(name, t1, t2, numbers)
+    k1, k2 = _text_keys(whole(docs[text_col]))
+    same = docs[id_col].cast("long").eqNullSafe(gone[name]) & (k1 == gone[t1]) & (k2 == gone[t2])
+    joined = docs.join(gone, same, "left")
     kept = F.filter(F.split(docs[text_col], "\n", -1), lambda line, i: ~F.array_contains(F.col(numbers), i))
     return joined.withColumn(
         text_col, F.when(F.col(numbers).isNull(), docs[text_col]).otherwise(F.array_join(kept, "\n"))
-    ).drop(name, numbers)
+    ).drop(name, numbers, t1, t2)
