@@ -548,10 +548,10 @@ cash AS (SELECT * FROM firsts WHERE cash_amount <> 0)""",
     ),
     "lake_event_merge": f"""WITH {DIVIDENDS},
 firsts AS (
-  SELECT symbol, date, min_by(cash_amount, event_id) AS cash_amount
+  SELECT symbol, date, min(event_id) AS event_id, min_by(cash_amount, event_id) AS cash_amount
   FROM dividends GROUP BY symbol, date
 )
-SELECT symbol, CAST(date AS VARCHAR) AS ex_dividend_date,
+SELECT event_id, symbol, CAST(date AS VARCHAR) AS ex_dividend_date,
   CASE WHEN date < DATE '1998-07-01' THEN cash_amount ELSE cash_amount + 1 END AS cash_amount
 FROM firsts""",
     "lake_security_master": """SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS symbol,
