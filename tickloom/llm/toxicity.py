@@ -189,7 +189,8 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(text, y) of at most FIT_ROWS labelled documents of each class; with both labels a document is toxic."""
+    """(text, y) of at most FIT_ROWS labelled documents of each class; of contradictory labels the more frequent holds,
+    and of as many of both, the clean one."""
     known = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))).select(
         F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")
     )
@@ -204,10 +205,11 @@ def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     chosen = F.broadcast(chosen[0].union(chosen[1]).select("i", "y"))  # FIT_ROWS bounds it
     texts = docs.select(F.col(id_col).alias("i"), whole(text_col).alias("text")).join(chosen, "i")
     # one row of an identifier, however often it comes
-    texts = texts.groupBy("i").agg(F.min("text").alias("text"), F.max("y").alias("y"))
+    toxic = (F.avg("y") > 0.5).cast("int").alias("y")
+    texts = texts.groupBy("i").agg(F.min("text").alias("text"), toxic)
     # and one of equal texts: copies of one toxic text would make all of its words telling
     same = [F.xxhash64("text"), F.xxhash64(F.lit("second"), "text")]
-    return texts.groupBy(*same).agg(F.min("text").alias("text"), F.max("y").alias("y")).select("text", "y")
+    return texts.groupBy(*same).agg(F.min("text").alias("text"), toxic).select("text", "y")
 
 
 def learn_terms(rows: DataFrame) -> tuple[tuple[str, bool, float], ...]:
@@ -276,7 +278,8 @@ def learn_weights(vectors: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """(terms, weights) learned from labelled documents that are not held out; FIT_ROWS bounds how many.
 
-    Without labels of both classes the lexicon is empty and every score is the share of toxic labels (0 without any).
+    Without labels of both classes, or of too few documents for any term to be telling, there are no terms and every
+    score is the share of toxic labels (0 without any): nothing then tells one document from another.
     """
     rows = fit_rows(importable(docs), labels, id_col, text_col, label_col)
     terms = learn_terms(rows)
