@@ -9,15 +9,18 @@ a span of the original bytes.
 from __future__ import annotations
 
 import importlib.util
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.llm.common import apart, importable, whole
+from tickloom.llm.common import apart, importable
 
 #: The module that knows where the vocabulary files of public tokenizers lie.
 TOKENIZERS = "public_tokenizers"
@@ -26,6 +29,8 @@ MODEL = "piece_bpe_32k.model"
 #: What stands for a space in pieces, and for bytes that are no character.
 SPACE_MARK, REPLACEMENT = "▁", "�"
 _MARK = SPACE_MARK.encode()
+#: Bytes of text whose arrays go back to Spark together (a longer text goes alone).
+PART = 1 << 20
 #: Kinds of pieces in a model file (fixed values).
 USER_DEFINED, BYTE = 4, 6
 
@@ -169,6 +174,10 @@ class Pieces:
             del source[len(out) :]
         return out.decode(), np.array([*source, end], np.int32)
 
+    def ids(self, data: bytes) -> np.ndarray:
+        """The ids alone."""
+        return np.array(self.library.encode(self.normalise(data)[0]), np.int32)
+
     def encode(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where in the data each begins and ends.
 
@@ -196,20 +205,37 @@ def _library(model: str):
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *arrays])))
 
 
-_SPANS = "struct<ids: array<int>, begins: array<int>, ends: array<int>>"
+def _parts(batch: pa.RecordBatch, texts: pa.Array) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Rows of a batch together until their texts reach PART bytes: a text has more tokens than a batch should hold."""
+    begin = size = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        size += n
+        if size >= PART or i == len(texts) - 1:
+            yield batch.slice(begin, i + 1 - begin), texts.slice(begin, i + 1 - begin)
+            begin, size = i + 1, 0
+
 
+def with_arrays(
+    docs: DataFrame, text_col: str, fields: tuple[str, ...], load: Callable[[], Callable[[bytes], tuple[np.ndarray, ...]]]
+) -> DataFrame:
+    """The documents and arrays of numbers after their own columns, which ``load()``, called on the executors, makes of
+    the whole text (null: empty). Names that a document already has get underscores before them."""
+    at, names = docs.columns.index(text_col), apart(docs.columns, *fields)
+    kinds = [T.StructField(name, T.ArrayType(T.IntegerType())) for name in names]
 
-def _encode(text_col: str, model: str):
-    @F.arrow_udf(_SPANS)
-    def encode(texts: pa.Array) -> pa.Array:
-        rows = [pieces(model).encode(x.as_py()) for x in texts.cast(pa.binary())]
-        return pa.StructArray.from_arrays([_lists([r[i] for r in rows]) for i in range(3)], ["ids", "begins", "ends"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = load()
+        for batch in batches:
+            for part, texts in _parts(batch, batch.column(at).cast(pa.binary())):
+                rows = [make(x.as_py() or b"") for x in texts]
+                made = [_lists([row[i] for row in rows]) for i in range(len(fields))]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *names])
 
-    return encode(whole(text_col))
+    return importable(docs).mapInArrow(run, T.StructType([*docs.schema.fields, *kinds]))
 
 
 def with_pieces(docs: DataFrame, model: str = MODEL, text_col: str = "text") -> DataFrame:
@@ -220,10 +246,7 @@ def with_pieces(docs: DataFrame, model: str = MODEL, text_col: str = "text") ->
     rows are encoded alike, no row moves, and an empty table gives an empty result. ``model`` is the name of a file of the
     public tokenizers, or a path; either is looked for on the executors.
     """
-    names = apart(docs.columns, "ids", "begins", "ends", "_spans")
-    made = importable(docs).withColumn(names[-1], _encode(text_col, model))
-    fields = ("ids", "begins", "ends")
-    return made.select(*docs.columns, *[F.col(f"{names[-1]}.{f}").alias(to) for f, to in zip(fields, names, strict=False)])
+    return with_arrays(docs, text_col, ("ids", "begins", "ends"), lambda: pieces(model).encode)
 
 
 def decoded(ids: Column | str, model: str = MODEL) -> Column:
@@ -231,8 +254,11 @@ def decoded(ids: Column | str, model: str = MODEL) -> Column:
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        library = _library(model)
-        return pa.array([library.decode(x) if x else "" for x in lists.to_pylist()], pa.string())
+        library, out = _library(model), []
+        for x in lists:
+            numbers = [] if x.values is None else x.values.to_numpy().tolist()
+            out.append(library.decode(numbers) if numbers else "")
+        return pa.array(out, pa.string())
 
     return decode(ids if isinstance(ids, Column) else F.col(ids))
 
