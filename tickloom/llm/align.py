@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import apart, importable, stage, whole
-from tickloom.llm.pieces import MODEL, pieces, tokenizer_path
+from tickloom.llm.common import importable, stage, whole
+from tickloom.llm.pieces import MODEL, pieces, tokenizer_path, with_arrays
 
 #: The byte-level tokenizer that the pieces are aligned with.
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,28 +79,36 @@ def byte_level(name: str = TOKENIZER) -> ByteLevel:
     return ByteLevel(tokenizer_path(name))
 
 
-def diagonal_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[int]]:
+def diagonal_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of A and of B there are up to the end of each group. Both lists ascend and end alike.
 
     From a common end on, slices of the two lists are compared, of one entry, two, four and so on; where they differ, the
     width is halved until the first difference is found. What was equal are groups of one token each.
     """
+    size, n = 8, len(ends_a)
     a, b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
-    at_a, at_b, step = ends_a.tolist(), ends_b.tolist(), 8
-    cuts_a, cuts_b, i, shift, n = [], [], 0, 0, len(at_a)
+    at_a, at_b = ends_a.tolist(), ends_b.tolist()
+    # what follows a start up to the next one lies on one diagonal: the index of the first cut, the shift, the cuts
+    starts, shifts, lengths = [], [], []
+    i = shift = 0
     while i < n:
-        start, width = i, 1
-        here, there = i * step, (i + shift) * step
-        while a[here : here + width * step] == b[there : there + width * step] and here < len(a):
-            here, there, width = here + width * step, there + width * step, width * 2
-        while width > 1:
-            width //= 2
-            if a[here : here + width * step] == b[there : there + width * step] and here + width * step <= len(a):
-                here, there = here + width * step, there + width * step
-        i = min(here // step, n)
-        if i > start:
-            cuts_a += range(start + 1, i + 1)
-            cuts_b += range(start + shift + 1, i + shift + 1)
+        here = start = i * size
+        across, width = shift * size, size
+        while a[here : here + width] == b[here + across : here + across + width]:
+            here += width
+            if here >= len(a):
+                break
+            width *= 2
+        while width > size:
+            width >>= 1
+            if here + width <= len(a) and a[here : here + width] == b[here + across : here + across + width]:
+                here += width
+        here = min(here, len(a))
+        if here > start:
+            starts.append(i + 1)
+            shifts.append(shift)
+            lengths.append((here - start) // size)
+            i = here // size
             if i == n:
                 break
         j = i + shift
@@ -113,9 +121,13 @@ def diagonal_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int],
                 j += 1
                 end_b = at_b[j]
         i, shift = i + 1, j - i
-        cuts_a.append(i)
-        cuts_b.append(i + shift)
-    return cuts_a, cuts_b
+        starts.append(i)
+        shifts.append(shift)
+        lengths.append(1)
+    lengths = np.array(lengths, np.int64)
+    before = np.cumsum(lengths) - lengths
+    cuts = np.arange(lengths.sum()) + np.repeat(np.array(starts, np.int64) - before, lengths)
+    return cuts, cuts + np.repeat(np.array(shifts, np.int64), lengths)
 
 
 class Groups(NamedTuple):
@@ -145,13 +157,12 @@ class Aligner:
         if not text:
             return none
         spaced = " " + text
-        a, b = self.a.encode(spaced), self.b.encode(text.encode())[0].tolist()
-        data = spaced.encode()
-        if any(b"".join([side.bytes[i] for i in ids]) != data for side, ids in ((self.a, a), (self.b, b))):
+        data, a, b = spaced.encode(), self.a.encode(spaced), self.b.ids(text.encode())
+        sides = (self.a.bytes, a), (self.b.bytes, b.tolist())
+        if any(b"".join(map(spelled.__getitem__, ids)) != data for spelled, ids in sides):
             return none
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
-        ends = [np.cumsum(width[ids]) for width, ids in zip(self.widths, (a, b), strict=True)]
-        return Groups(a, b, *(np.array(x, np.int64) for x in diagonal_groups(*ends)))
+        a, b = np.array(a, np.int64), b.astype(np.int64)
+        return Groups(a, b, *diagonal_groups(np.cumsum(self.widths[0][a]), np.cumsum(self.widths[1][b])))
 
     def written(self, g: Groups) -> bytes:
         """The groups as text: A's ids joined by commas, a bar, B's ids likewise; groups joined by semicolons."""
@@ -187,17 +198,6 @@ def _lists(arrays: list[np.ndarray], kind: str) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays]).astype(kind)))
 
 
-def _groups(text_col: str, tokenizer: str, model: str):
-    @F.arrow_udf("struct<a_ids: array<int>, b_ids: array<int>, a_cuts: array<int>, b_cuts: array<int>>")
-    def align(texts: pa.Array) -> pa.Array:
-        rows = [aligner(tokenizer, model)(x.as_py()) for x in texts]
-        return pa.StructArray.from_arrays(
-            [_lists([r[i] for r in rows], "int32") for i in range(4)], ["a_ids", "b_ids", "a_cuts", "b_cuts"]
-        )
-
-    return align(whole(text_col))
-
-
 def with_groups(docs: DataFrame, tokenizer: str = TOKENIZER, model: str = MODEL, text_col: str = "text") -> DataFrame:
     """The documents and four arrays after their own columns: a_ids, b_ids, a_cuts, b_cuts.
 
@@ -205,10 +205,12 @@ def with_groups(docs: DataFrame, tokenizer: str = TOKENIZER, model: str = MODEL,
     do not spell them, have empty arrays. Names that a document already has get underscores before them; its own columns
     come back as they are. Repeated rows are aligned alike, no row moves, and an empty table gives an empty result.
     """
-    names = apart(docs.columns, "a_ids", "b_ids", "a_cuts", "b_cuts", "_groups")
-    made = importable(docs).withColumn(names[-1], _groups(text_col, tokenizer, model))
-    fields = ("a_ids", "b_ids", "a_cuts", "b_cuts")
-    return made.select(*docs.columns, *[F.col(f"{names[-1]}.{f}").alias(to) for f, to in zip(fields, names, strict=False)])
+
+    def load():
+        align = aligner(tokenizer, model)
+        return lambda data: tuple(x.astype(np.int32) for x in align(data.decode()))
+
+    return with_arrays(docs, text_col, ("a_ids", "b_ids", "a_cuts", "b_cuts"), load)
 
 
 _COUNTED = "struct<n_a: bigint, n_b: bigint, n_groups: bigint, n_links: bigint, groups_sha256: string, pairs: array<bigint>, times: array<int>>"
