@@ -1,0 +1,224 @@
+"""Tables that are updated: versions, what was known when, and events moved to the next panel date."""
+
+import math
+import os
+import random
+import re
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import close_bars, panel, table
+from tickloom.operators import actions, versions
+from tickloom.plans.jobs import sync_corporate_actions, sync_security_master
+from tickloom.plans.prices import load_adjusted_prices
+from tickloom.sinks import lake as sink
+from tickloom.sources.lake import (
+    Lake,
+    load_dividends,
+    load_history,
+    load_security_master,
+    load_split_ratio_table,
+)
+
+DAY = [date(2024, 1, 1) + timedelta(days=i) for i in range(40)]
+AT = [datetime(d.year, d.month, d.day) for d in DAY]
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path))
+
+
+def masters(spark, rows):
+    records = spark.createDataFrame(rows, "ticker string, name string, active boolean")
+    return records.withColumns({"primary_exchange": F.lit("X"), "type": F.lit("CS")})
+
+
+def files(lake, name):
+    root = lake.path(name)
+    return {
+        os.path.join(os.path.relpath(d, root), f)
+        for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")
+    }
+
+
+def test_a_reissued_security_is_seen_and_the_old_one_is_kept(spark, lake):
+    sync_security_master(lake, masters(spark, [("A", "a", True), ("B", "b", True)]))
+    sync_security_master(lake, masters(spark, [("A", "a", False), ("C", "c", True)]), "upsert", DAY[5])
+    assert table(load_security_master(lake), "symbol", "is_active") == [("A", False), ("B", True), ("C", True)]
+    before = load_security_master(lake, as_of=DAY[4])
+    assert table(before, "symbol", "is_active") == [("A", True), ("B", True)]
+    got = load_history(lake, "security_master")
+    assert table(got, "symbol", "is_active", "valid_from", "valid_to") == [
+        ("A", False, "2024-01-06 00:00", None), ("A", True, None, "2024-01-06 00:00"),
+        ("B", True, None, None), ("C", True, "2024-01-06 00:00", None),
+    ]
+
+
+def test_only_partitions_that_a_batch_changes_are_written_again(spark, lake):
+    rows = [(f"S{i}", "n", True) for i in range(300)]
+    sync_security_master(lake, masters(spark, rows), "upsert", DAY[0])
+    before = files(lake, "security_master_history")
+    again = [(s, n, s != "S7") for s, n, _ in rows]
+    sync_security_master(lake, masters(spark, again), "upsert", DAY[1])
+    after = files(lake, "security_master_history")
+    assert len(before) == len({os.path.dirname(f) for f in before}) > 50
+    assert len({os.path.dirname(f) for f in before ^ after}) == 1
+    sync_security_master(lake, masters(spark, again), "upsert", DAY[2])
+    assert files(lake, "security_master_history") == after
+    assert load_security_master(lake).where("not is_active").count() == 1
+
+
+def test_keeping_mode_on_an_updated_table_only_adds(spark, lake):
+    sync_security_master(lake, masters(spark, [("A", "a", True)]), "upsert", DAY[0])
+    sync_security_master(lake, masters(spark, [("A", "other", False), ("B", "b", True)]), at=DAY[1])
+    assert table(load_security_master(lake), "symbol", "name") == [("A", "a"), ("B", "b")]
+    with pytest.raises(ValueError, match="keep or upsert"):
+        sync_security_master(lake, masters(spark, [("A", "a", True)]), "replace")
+
+
+def test_columns_of_one_side_and_empty_batches(spark, lake):
+    first = spark.createDataFrame([("A", 1.5, "x")], "symbol string, cash_amount double, currency string")
+    day = F.lit("2024-01-03").alias("ex_dividend_date")
+    sink.write_dividends(lake, first.select("*", day), "upsert", DAY[0])
+    second = spark.createDataFrame([("A", 2.5, 7)], "symbol string, cash_amount double, issue int")
+    sink.write_dividends(lake, second.select("*", day), "upsert", DAY[1])
+    sink.write_dividends(lake, second.select("*", day).limit(0), "upsert", DAY[2])
+    got = load_dividends(lake).select("symbol", "cash_amount", "currency", "issue").collect()
+    assert [tuple(r) for r in got] == [("A", 2.5, "x", 7)]
+    old = load_dividends(lake, as_of=DAY[0]).select("cash_amount", "currency", "issue").collect()
+    assert [tuple(r) for r in old] == [(1.5, "x", None)]
+
+
+def test_a_table_without_rows_can_be_updated(spark, lake):
+    sync_security_master(lake, masters(spark, []), "upsert", DAY[0])
+    assert load_security_master(lake).count() == load_security_master(lake, as_of=DAY[3]).count() == 0
+    sync_security_master(lake, masters(spark, [("A", "a", True)]), "upsert", DAY[1])
+    assert load_security_master(lake).count() == 1
+
+
+def test_any_series_of_batches_against_a_dictionary(spark):
+    """Batches in no order of time: each instant has the version that news up to it left."""
+    r = random.Random(4)
+    schema = "k string, j int, v double, w string"
+    history = spark.createDataFrame([], f"{schema}, valid_from timestamp, valid_to timestamp")
+    open_at: dict = {}
+    expected = []
+    for _ in range(7):
+        at = DAY[r.randrange(12)]
+        keys = [(r.choice(["a", "b", None]), r.choice([1, 2, None])) for _ in range(8)]
+        rows = [(*k, r.choice([1.0, 2.0, None, float("nan")]), r.choice(["", None])) for k in dict.fromkeys(keys)]
+        for k, j, *values in rows:
+            key, values = (k, j), [str(x) for x in values]
+            old = open_at.get(key)
+            if old is None:
+                open_at[key] = (values, at)
+            elif old[0] != values and old[1] <= at:
+                if old[1] < at:
+                    expected.append((key, old[0], old[1], at))
+                open_at[key] = (values, at)
+        batch = spark.createDataFrame(rows, schema)
+        history = versions.next_versions(history, batch, ["k", "j"], at).drop("touched")
+        history = spark.createDataFrame(history.collect(), history.schema)
+    expected += [(key, values, since, None) for key, (values, since) in open_at.items()]
+    got = [
+        ((x.k, x.j), [str(x.v), str(x.w)], x.valid_from.date(), x.valid_to and x.valid_to.date())
+        for x in history.collect()
+    ]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    assert len(expected) > len(open_at) > 5
+    for day in DAY[:13]:
+        held = [x for x in expected if x[2] <= day and (x[3] is None or day < x[3])]
+        assert versions.as_of(history, day).count() == len(held)
+
+
+def test_facts_meet_the_version_of_their_own_time(spark):
+    periods = [("A", 1, None, AT[3]), ("A", 2, AT[3], AT[5]), ("A", 3, AT[5], None), ("B", 9, AT[2], None)]
+    history = spark.createDataFrame(periods, "symbol string, x int, valid_from timestamp, valid_to timestamp")
+    facts = spark.createDataFrame([(s, AT[i]) for s in ("A", "B", "C") for i in range(7)], "symbol string, at timestamp")
+    got = versions.join_versions(facts, history, ["symbol"], "at")
+    assert got.columns == ["symbol", "at", "x"]
+    want = [("A", i, 1 if i < 3 else 2 if i < 5 else 3) for i in range(7)]
+    want += [("B", i, 9 if i >= 2 else None) for i in range(7)] + [("C", i, None) for i in range(7)]
+    assert sorted(((r.symbol, (r["at"] - AT[0]).days, r.x) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_adjusted_prices_as_known_before_and_after_a_correction(spark, lake):
+    sink.write_bars(lake, close_bars(spark, [("2024-01-02", "A", 100.0), ("2024-01-03", "A", 100.0)]), "1d")
+    splits = spark.createDataFrame([], "ticker string, execution_date string, split_from int, split_to int")
+
+    def issued(cash, at):
+        records = spark.createDataFrame([("A", "2024-01-03", cash)], "ticker string, ex_dividend_date string, cash_amount double")
+        sync_corporate_actions(lake, splits, records, mode="upsert", at=at)
+
+    issued(10.0, DAY[10])
+    issued(20.0, DAY[20])
+    args = ("1d", ["A"], datetime(2024, 1, 1), datetime(2024, 1, 31))
+    first = {day: load_adjusted_prices(lake, *args, as_of=day).orderBy("timestamp").first().close for day in (DAY[5], DAY[15], DAY[25])}
+    assert first == {DAY[5]: 100.0, DAY[15]: 90.0, DAY[25]: 80.0}
+    sink.build_corporate_actions_tables(lake)
+    assert load_adjusted_prices(lake, *args).orderBy("timestamp").first().close == 80.0
+    assert load_split_ratio_table(lake, as_of=DAY[25]).count() == 0
+
+
+# ---------------------------------------------------------------- roll forward
+
+
+def rolled_by_hand(rows, events):
+    """Events moved to the symbol's next date with a row, multiplied there."""
+    out = {}
+    for symbol, day, ratio in events:
+        later = sorted(d for s, d in rows if s == symbol and d >= day)
+        if later and ratio and ratio > 0:
+            out[symbol, later[0]] = out.get((symbol, later[0]), 1.0) * ratio
+    return {
+        (s, d): math.prod(v for (t, e), v in out.items() if t == s and e > d) for s, d in rows
+    }
+
+
+def test_rolled_factors_against_brute_force(spark):
+    r = random.Random(9)
+    rows = sorted({(r.choice("AB"), DAY[r.randrange(30)]) for _ in range(25)})
+    events = sorted({(r.choice("ABC"), DAY[r.randrange(40)]): r.choice([0.5, 2.0, 4.0, -1.0]) for _ in range(40)}.items())
+    events = [(s, d, v) for (s, d), v in events]
+    prices = panel(spark, [(f"{d} 15:00", s, 8.0) for s, d in rows])
+    ratios = spark.createDataFrame(events, "symbol string, date date, split_ratio double")
+    got = actions.compute_split_factors(prices, ratios, roll_forward=True).collect()
+    assert {(x.symbol, x.timestamp.date()): x.split_factor for x in got} == rolled_by_hand(rows, events)
+    volumes = prices.withColumnRenamed("close", "volume")
+    adjusted = actions.apply_volume_adjustments(volumes, ratios, roll_forward=True)
+    want = {k: 8.0 / f for k, f in rolled_by_hand(rows, events).items()}
+    assert {(x.symbol, x.timestamp.date()): x.volume for x in adjusted.collect()} == want
+
+
+def test_dividends_that_meet_on_a_date_are_added(spark):
+    prices = panel(spark, [("2024-01-05", "A", 100.0), ("2024-01-08", "A", 90.0), ("2024-01-09", "A", None)])
+    events = [("A", date(2024, 1, 6), 10.0), ("A", date(2024, 1, 7), 5.0), ("A", date(2024, 1, 8), 5.0), ("A", date(2024, 2, 1), 50.0)]
+    cash = spark.createDataFrame(events, "symbol string, date date, cash_amount double")
+    got = actions.compute_dividend_factors(prices, cash, roll_forward=True)
+    assert [round(x[2], 9) for x in table(got, "timestamp", "symbol", "dividend_factor")] == [0.8, 1.0, 1.0]
+    plain = actions.compute_dividend_factors(prices, cash)
+    assert [round(x[2], 9) for x in table(plain, "timestamp", "symbol", "dividend_factor")] == [0.95, 1.0, 1.0]
+    both = actions.apply_price_adjustments(
+        prices, cash.select("symbol", "date", F.lit(0.5).alias("split_ratio")).limit(0), cash, roll_forward=True
+    )
+    assert table(both, "timestamp", "close")[0] == ("2024-01-05 00:00", 80.0)
+
+
+def test_rolling_exchanges_the_panel_once(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(f"2024-01-{d:02d} {h:02d}:00", s, float(h)) for d in range(1, 29) for h in range(9, 17) for s in "AB"]
+        panel(spark, rows).write.parquet(f"{tmp_path}/panel")
+        prices = spark.read.parquet(f"{tmp_path}/panel")
+        ratios = spark.createDataFrame([("A", DAY[9], 0.5)], "symbol string, date date, split_ratio double")
+        df = actions.compute_split_factors(prices, ratios, roll_forward=True)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan
+    scans = [line for line in plan.splitlines() if re.search(r"FileScan|Scan parquet", line)]
+    assert len(scans) == 1

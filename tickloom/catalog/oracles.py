@@ -561,3 +561,102 @@ FROM firsts""",
   concat('C-', s_name) AS cik
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 }
+
+# Day rows of a panel of the days up to the 20th, events moved to the symbol's next date.
+_ROLLED_DAYS = """
+px_days AS (
+  SELECT symbol, CAST(timestamp AS DATE) AS date, close AS px FROM bars_1d
+  WHERE day(timestamp) <= 20
+),
+rolled_ratios AS (
+  SELECT symbol, date, product(split_ratio) AS split_ratio FROM (
+    SELECT r.symbol, split_ratio,
+      (SELECT min(p.date) FROM px_days p WHERE p.symbol = r.symbol AND p.date >= r.date) AS date
+    FROM ratios r)
+  WHERE date IS NOT NULL GROUP BY symbol, date
+),
+rolled_cash AS (
+  SELECT symbol, date, sum(cash_amount) AS cash_amount FROM (
+    SELECT c.symbol, cash_amount,
+      (SELECT min(p.date) FROM px_days p WHERE p.symbol = c.symbol AND p.date >= c.date) AS date
+    FROM cash c)
+  WHERE date IS NOT NULL GROUP BY symbol, date
+),
+days AS (
+  SELECT p.symbol, p.date, p.px, r.split_ratio, c.cash_amount FROM px_days p
+  LEFT JOIN rolled_ratios r ON r.symbol = p.symbol AND r.date = p.date
+  LEFT JOIN rolled_cash c ON c.symbol = p.symbol AND c.date = p.date
+)"""
+
+
+def _rolled(value: str, name: str) -> str:
+    return f"""WITH {BARS_1D},{SPLITS},{DIVIDENDS},{_ROLLED_DAYS},{FACTORS}
+SELECT b.timestamp, b.symbol, {value} AS {name} FROM bars_1d b
+JOIN factors x ON x.symbol = b.symbol AND x.date = CAST(b.timestamp AS DATE)
+WHERE day(b.timestamp) <= 20"""
+
+
+ORACLES["split_factors_rolled"] = _rolled("x.split_factor", "split_factor")
+ORACLES["price_adjustments_rolled"] = _rolled(
+    "b.close * x.split_factor * x.dividend_factor", "close"
+)
+
+ORACLES["merge_upsert_security_master"] = """
+WITH first_issue AS (
+  SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS symbol, s_name AS name, n_name AS exchange,
+    CASE WHEN s_suppkey % 3 = 0 THEN 'ETF' ELSE 'CS' END AS type, s_acctbal >= 0 AS is_active,
+    s_suppkey % 10 < 5 AS flips, n_name = 'FRANCE' AS moves
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+)
+SELECT symbol, name, exchange, type, is_active, TIMESTAMP '2024-01-01' AS valid_from,
+  CASE WHEN flips THEN TIMESTAMP '2024-01-02' WHEN moves THEN TIMESTAMP '2024-01-04' END AS valid_to
+FROM first_issue
+UNION ALL
+SELECT symbol, name, exchange, type, NOT is_active, TIMESTAMP '2024-01-02',
+  CASE WHEN moves THEN TIMESTAMP '2024-01-04' END
+FROM first_issue WHERE flips
+UNION ALL
+SELECT symbol, name, 'PARIS', type, is_active <> flips, TIMESTAMP '2024-01-04', NULL
+FROM first_issue WHERE moves"""
+
+ORACLES["security_as_of"] = """
+SELECT concat('S', CAST(o_custkey % 10 + 1 AS VARCHAR)) AS symbol,
+  CAST(year(o_orderdate) AS INTEGER) AS year,
+  CASE WHEN o_orderdate < DATE '1995-01-01' THEN NULL
+    WHEN o_orderdate < DATE '1998-01-01' THEN s_acctbal >= 0 ELSE NOT (s_acctbal >= 0) END AS is_active,
+  count(*) AS n_orders
+FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey % 10 + 1
+GROUP BY ALL"""
+
+# Events by symbol and date, the first one of a key, as they were known before and after.
+_KNOWN_RATIOS = """
+splits AS (
+  SELECT concat('S', CAST(o_custkey % 10 AS VARCHAR)) AS symbol, CAST(o_orderdate AS DATE) AS date,
+    min_by(pow(2, o_orderkey % 3) / pow(2, (o_orderkey // 3) % 3), o_orderkey) AS split_ratio
+  FROM orders GROUP BY ALL
+),
+ratios AS (SELECT date, symbol, split_ratio FROM splits)"""
+
+
+def _known_cash(raised: str) -> str:
+    return f"""
+dividends AS (
+  SELECT concat('S', CAST(o_custkey % 10 AS VARCHAR)) AS symbol, CAST(o_orderdate AS DATE) AS date,
+    min_by(CAST(o_orderkey % 41 / 4.0 AS DOUBLE) + {raised}, o_orderkey) AS cash_amount
+  FROM orders GROUP BY ALL
+),
+cash AS (SELECT date, symbol, cash_amount FROM dividends WHERE cash_amount <> 0)"""
+
+
+def _known(raised: str, day: str) -> str:
+    panel = _adjusted(
+        [BARS_1D, GRID_1D, _KNOWN_RATIOS, _known_cash(raised)], "close", _filled("close"), _PRICE
+    )
+    return f"SELECT *, DATE '{day}' AS as_of FROM ({panel})"
+
+
+ORACLES["adjusted_close_panel_as_of"] = (
+    _known("0.0", "2002-03-01")
+    + " UNION ALL "
+    + _known("CASE WHEN o_orderkey % 5 = 0 THEN 1.0 ELSE 0.0 END", "2003-01-01")
+)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.catalog import fixtures as fx
 from tickloom.functions import calendar as cal
-from tickloom.operators import actions, ledger, merge, normalize, panel, sessions, universe
+from tickloom.operators import actions, ledger, merge, normalize, panel, sessions, universe, versions
 from tickloom.plans import jobs, prices
 from tickloom.session import scratch_path
 from tickloom.sinks import lake as sink
@@ -168,6 +168,27 @@ def split_factors(spark, sf_dir):
     return actions.compute_split_factors(_raw_panel(spark, sf_dir), _ratios(spark, sf_dir))
 
 
+def _monthly_panel(spark, sf_dir):
+    """Bars of the days up to the 20th: later events find no row of their date."""
+    return _raw_panel(spark, sf_dir).where(F.day("timestamp") <= 20)
+
+
+@query
+def split_factors_rolled(spark, sf_dir):
+    """Splits count on the next date on which their symbol has a bar."""
+    return actions.compute_split_factors(
+        _monthly_panel(spark, sf_dir), _ratios(spark, sf_dir), roll_forward=True
+    )
+
+
+@query
+def price_adjustments_rolled(spark, sf_dir):
+    return actions.apply_price_adjustments(
+        _monthly_panel(spark, sf_dir), _ratios(spark, sf_dir), _cash(spark, sf_dir),
+        roll_forward=True,
+    )
+
+
 @query
 def dividend_factors(spark, sf_dir):
     return actions.compute_dividend_factors(_raw_panel(spark, sf_dir), _cash(spark, sf_dir))
@@ -580,3 +601,71 @@ def lake_security_master(spark, sf_dir):
     jobs.sync_security_master(lake, records)
     jobs.sync_security_master(lake, records.withColumn("active", ~F.col("active")))
     return src.load_security_master(lake)
+
+
+FIRST_ISSUE, CORRECTION = date(2002, 1, 1), date(2002, 7, 1)
+
+
+def _issued(lake, records, corrected, write):
+    """Records written, and written again with corrections half a year later."""
+    write(lake, records, mode="upsert", at=FIRST_ISSUE)
+    write(lake, corrected, mode="upsert", at=CORRECTION)
+
+
+@query
+def merge_upsert_security_master(spark, sf_dir):
+    """Every version of the securities after four batches: all, half with another flag, the
+    same again, and one exchange renamed."""
+    lake = _lake(spark, "versions")
+    records = fx.security_raw(spark, sf_dir)
+    flipped = records.withColumn(
+        "active", F.when(F.substring("ticker", -1, 1) < "5", ~F.col("active")).otherwise(F.col("active"))
+    )
+    renamed = flipped.withColumn(
+        "primary_exchange", F.when(F.col("primary_exchange") == "FRANCE", F.lit("PARIS"))
+        .otherwise(F.col("primary_exchange"))
+    )
+    for day, batch in ((1, records), (2, flipped), (3, flipped), (4, renamed)):
+        jobs.sync_security_master(lake, batch, mode="upsert", at=date(2024, 1, day))
+    return src.load_history(lake, "security_master").drop("sector", "industry")
+
+
+@query
+def security_as_of(spark, sf_dir):
+    """Orders with the activity of a security as it was known on the day of the order."""
+    lake = _lake(spark, "as-of")
+    records = fx.security_raw(spark, sf_dir)
+    middle = date(1998, 1, 1)
+    jobs.sync_security_master(lake, records, mode="upsert", at=date(1995, 1, 1))
+    changed = records.withColumn("active", ~F.col("active"))
+    jobs.sync_security_master(lake, changed, mode="upsert", at=middle)
+    orders = fx.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("S"), (F.col("o_custkey") % 10 + 1).cast("string")).alias("symbol"),
+        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
+    )
+    history = src.load_history(lake, "security_master").select(
+        "symbol", "is_active", *versions.PERIOD
+    )
+    known = versions.join_versions(orders, history, ["symbol"], "timestamp")
+    return known.groupBy("symbol", F.year("timestamp").alias("year"), "is_active").agg(
+        F.count("*").alias("n_orders")
+    )
+
+
+@query
+def adjusted_close_panel_as_of(spark, sf_dir):
+    """Closes adjusted by the events as known before and after they were corrected."""
+    lake = _lake(spark, "known")
+    sink.write_bars(lake, fx.bars_1d(spark, sf_dir), "1d")
+    order = F.col("event_id").alias(merge.INGEST_SEQ)
+    sink.write_splits(lake, fx.splits(spark, sf_dir).select("*", order))
+    records = fx.dividends(spark, sf_dir).select("*", order)
+    raised = F.when(F.col("event_id") % 5 == 0, F.col("cash_amount") + 1).otherwise(F.col("cash_amount"))
+    _issued(lake, records, records.withColumn("cash_amount", raised), sink.write_dividends)
+    known = [
+        prices.load_adjusted_prices(
+            lake, "1d", fx.DAILY_SYMBOLS, *DAILY_SPAN, as_of=day
+        ).withColumn("as_of", F.lit(day))
+        for day in (date(2002, 3, 1), date(2003, 1, 1))
+    ]
+    return known[0].union(known[1])

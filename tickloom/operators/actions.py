@@ -207,6 +207,71 @@ def action_days(
     return days.drop("on_panel")
 
 
+def rolled_action_days(
+    panel: DataFrame,
+    field: str,
+    split_ratios: DataFrame | None = None,
+    cash_dividends: DataFrame | None = None,
+) -> DataFrame:
+    """Day rows as in ``action_days``, with events moved forward to the symbol's next panel date.
+
+    An event counts on the first date, on or after its own, on which its symbol has a row; what
+    falls on one date is multiplied (splits) or added (dividends). Events after the symbol's
+    last row move nothing, as do splits that are not above zero.
+
+    The match is no join: days and events of a symbol lie in one window over descending dates,
+    in which the last panel date seen is the next one. The regrouping keeps that partitioning.
+    """
+    value = not_nan(F.col(field)) if _is_floating(panel, field) else F.col(field)
+    px_kind, no_action = panel.schema[field].dataType, F.lit(None).cast("double")
+    stamp = F.when(F.col("px").isNotNull(), F.col("timestamp"))
+    rows = (
+        panel.select("symbol", F.to_date("timestamp").alias("date"), "timestamp", value.alias("px"))
+        .groupBy(*KEYS)
+        .agg(F.max_by("px", stamp).alias("px"))
+        .select(*KEYS, "px", no_action.alias("split_ratio"), no_action.alias("cash_amount"),
+                F.lit(True).alias("on_panel"))
+    )
+    for events, col in ((split_ratios, "split_ratio"), (cash_dividends, "cash_amount")):
+        if events is not None:
+            amounts = [F.col(c) if c == col else no_action for c in ("split_ratio", "cash_amount")]
+            rows = rows.union(
+                events.select("symbol", "date", F.lit(None).cast(px_kind), *amounts, F.lit(False))
+            )
+    backward = Window.partitionBy("symbol").orderBy(F.col("date").desc(), F.col("on_panel").desc())
+    panel_date = F.when(F.col("on_panel"), F.col("date"))
+    ahead = F.last(panel_date, ignorenulls=True).over(
+        backward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ratio = not_nan(F.col("split_ratio"))
+    return (
+        rows.withColumn("date", ahead)
+        .where(F.col("date").isNotNull())
+        .groupBy(*KEYS)
+        .agg(
+            F.max("px").alias("px"),
+            F.product(F.when(ratio > 0, ratio)).alias("split_ratio"),
+            F.sum("cash_amount").alias("cash_amount"),
+        )
+    )
+
+
+def _days(roll_forward, panel, field, split_ratios=None, cash_dividends=None) -> DataFrame:
+    days = rolled_action_days if roll_forward else action_days
+    return days(panel, field, split_ratios, cash_dividends)
+
+
+def _dealt(panel: DataFrame, roll_forward: bool) -> DataFrame:
+    """The panel dealt by symbol and date, so that its days and the join back share one exchange
+    of it; rows without a symbol or a time, which no event can meet, are left out first, as else
+    only one of the two would leave them out. Without rolling, days are summed on the map side.
+    """
+    if not roll_forward:
+        return panel
+    date = F.to_date("timestamp")
+    return panel.where(F.col("symbol").isNotNull() & date.isNotNull()).repartition("symbol", date)
+
+
 def action_quality(days: DataFrame) -> DataFrame:
     """One row of counts of repaired or suspicious actions on day rows."""
     return add_prior_close(days).agg(*quality_counts())
@@ -228,19 +293,27 @@ def quality_counts(where: Column | None = None) -> list[Column]:
     ]
 
 
-def compute_split_factors(prices: DataFrame, split_ratios: DataFrame) -> DataFrame:
-    """``(timestamp, symbol, split_factor)`` for every panel row."""
-    field = price_field_of(prices)
-    days = add_factors(action_days(prices, field, split_ratios=split_ratios), dividends=False)
+def compute_split_factors(
+    prices: DataFrame, split_ratios: DataFrame, roll_forward: bool = False
+) -> DataFrame:
+    """``(timestamp, symbol, split_factor)`` for every panel row.
+
+    ``roll_forward`` lets an event on a date without a row of its symbol count on the next one.
+    """
+    field, prices = price_field_of(prices), _dealt(prices, roll_forward)
+    days = add_factors(_days(roll_forward, prices, field, split_ratios), dividends=False)
     return _spread(prices, days, ["split_factor"]).select("timestamp", "symbol", "split_factor")
 
 
 def compute_dividend_factors(
-    prices: DataFrame, cash_dividends: DataFrame, price_field: str = "close"
+    prices: DataFrame,
+    cash_dividends: DataFrame,
+    price_field: str = "close",
+    roll_forward: bool = False,
 ) -> DataFrame:
     """``(timestamp, symbol, dividend_factor)`` for every panel row, from unadjusted prices."""
-    field = price_field_of(prices, price_field)
-    days = add_prior_close(action_days(prices, field, cash_dividends=cash_dividends))
+    field, prices = price_field_of(prices, price_field), _dealt(prices, roll_forward)
+    days = add_prior_close(_days(roll_forward, prices, field, None, cash_dividends))
     days = add_factors(days, splits=False)
     return _spread(prices, days, ["dividend_factor"]).select(
         "timestamp", "symbol", "dividend_factor"
@@ -253,14 +326,15 @@ def apply_price_adjustments(
     cash_dividends: DataFrame,
     price_field: str = "close",
     quality: Observation | None = None,
+    roll_forward: bool = False,
 ) -> DataFrame:
     """Panel price x split factor x dividend factor, as ``(timestamp, symbol, <field>)``.
 
     Both factors come from one pass over the day rows and one join back to the panel.
     ``quality`` receives the counts of repaired actions once the plan has run.
     """
-    field = price_field_of(prices, price_field)
-    days = add_prior_close(action_days(prices, field, split_ratios, cash_dividends))
+    field, prices = price_field_of(prices, price_field), _dealt(prices, roll_forward)
+    days = add_prior_close(_days(roll_forward, prices, field, split_ratios, cash_dividends))
     if quality is not None:
         days = days.observe(quality, *quality_counts())
     days = add_factors(days)
@@ -271,11 +345,14 @@ def apply_price_adjustments(
 
 
 def apply_volume_adjustments(
-    volumes: DataFrame, split_ratios: DataFrame, volume_field: str | None = None
+    volumes: DataFrame,
+    split_ratios: DataFrame,
+    volume_field: str | None = None,
+    roll_forward: bool = False,
 ) -> DataFrame:
     """Panel volume / split factor, as ``(timestamp, symbol, <field>)``."""
-    field = price_field_of(volumes, volume_field)
-    days = add_factors(action_days(volumes, field, split_ratios=split_ratios), dividends=False)
+    field, volumes = price_field_of(volumes, volume_field), _dealt(volumes, roll_forward)
+    days = add_factors(_days(roll_forward, volumes, field, split_ratios), dividends=False)
     return _spread(volumes, days, ["split_factor"]).select(
         "timestamp", "symbol", (F.col(field) / F.col("split_factor")).alias(field)
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,9 +194,11 @@ def rank_days(lake: Lake, days: list[date], freq: str) -> None:
         sink.replace_universe(lake, build_universe(bars, F.col(raw.TRADING_DAY)))
 
 
-def sync_security_master(lake: Lake, records: DataFrame) -> str:
-    """Security records into the security master."""
-    return sink.write_security_master(lake, normalize.securities(records))
+def sync_security_master(
+    lake: Lake, records: DataFrame, mode: str = "keep", at: datetime | date | None = None
+) -> str:
+    """Security records into the security master; ``mode="upsert"`` lets re-issued ones win."""
+    return sink.write_security_master(lake, normalize.securities(records), mode, at)
 
 
 def sync_corporate_actions(
@@ -205,11 +207,14 @@ def sync_corporate_actions(
     dividends: DataFrame,
     start: date | None = None,
     end: date | None = None,
+    mode: str = "keep",
+    at: datetime | date | None = None,
 ) -> list[str]:
-    """Split and dividend records, within a range, into the event tables."""
+    """Split and dividend records, within a range, into the event tables; with
+    ``mode="upsert"`` corrected events win from ``at`` (default: now) on."""
     return [
-        sink.write_splits(lake, normalize.split_events(splits, start, end)),
-        sink.write_dividends(lake, normalize.dividend_events(dividends, start, end)),
+        sink.write_splits(lake, normalize.split_events(splits, start, end), mode, at),
+        sink.write_dividends(lake, normalize.dividend_events(dividends, start, end), mode, at),
     ]
 
 

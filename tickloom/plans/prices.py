@@ -37,9 +37,11 @@ def load_prices(
     )
 
 
-def _actions(loader, lake: Lake, req: PanelRequest) -> DataFrame:
+def _actions(
+    loader, lake: Lake, req: PanelRequest, as_of: datetime | date | None = None
+) -> DataFrame:
     start, end = req.days
-    return loader(lake, start=start, end=end, symbols=list(req.symbols))
+    return loader(lake, start=start, end=end, symbols=list(req.symbols), as_of=as_of)
 
 
 def load_adjusted_prices(
@@ -50,13 +52,17 @@ def load_adjusted_prices(
     end: datetime,
     price_field: str = "close",
     quality: Observation | None = None,
+    as_of: datetime | date | None = None,
 ) -> DataFrame:
-    """Split- and dividend-adjusted prices, relative to the end of the range."""
+    """Split- and dividend-adjusted prices, relative to the end of the range.
+
+    ``as_of`` adjusts by the events as they were known then, before later corrections.
+    """
     req = panel_request(freq, symbols, start, end, [price_field])
     return panel.adjusted_price_panel(
         scan_bars(lake, freq, req.start, req.end),
-        _actions(load_split_ratio_table, lake, req),
-        _actions(load_dividend_cash_table, lake, req),
+        _actions(load_split_ratio_table, lake, req, as_of),
+        _actions(load_dividend_cash_table, lake, req, as_of),
         freq,
         symbols,
         req.start,
@@ -73,12 +79,13 @@ def load_adjusted_volumes(
     start: datetime,
     end: datetime,
     volume_field: str = "volume",
+    as_of: datetime | date | None = None,
 ) -> DataFrame:
-    """Split-adjusted volumes, relative to the end of the range."""
+    """Split-adjusted volumes, relative to the end of the range, by the splits known ``as_of``."""
     req = panel_request(freq, symbols, start, end, [volume_field])
     return panel.adjusted_volume_panel(
         scan_bars(lake, freq, req.start, req.end),
-        _actions(load_split_ratio_table, lake, req),
+        _actions(load_split_ratio_table, lake, req, as_of),
         freq,
         symbols,
         req.start,

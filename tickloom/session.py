@@ -74,6 +74,12 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder."""
+    files, at = _file_system(spark, path)
+    return files.exists(at)
+
+
 def move(spark: SparkSession, path: str, to: str) -> bool:
     """Rename a folder; false where there is none."""
     files, at = _file_system(spark, path)

@@ -1,15 +1,18 @@
 """Writers of the bar lake.
 
-Every merge here keeps existing rows, inserts new keys and updates nothing. That makes it
-an append of the rows whose key is not there yet: no file is rewritten, a run that died
-half-way is completed by running it again, and running twice changes nothing.
+A merge keeps existing rows, inserts new keys and updates nothing. That makes it an append of
+the rows whose key is not there yet: no file is rewritten, a run that died half-way is
+completed by running it again, and running twice changes nothing.
+
+Dimensions and events can be updated too (``mode="upsert"``): the table then becomes a history
+of versions, dealt by key, of which only the partitions that a batch changes are rewritten.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import date
+from datetime import UTC, date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.functions.scalars import freq_checked
-from tickloom.operators import actions, ledger
+from tickloom.operators import actions, ledger, versions
 from tickloom.operators.merge import (
     BAR_KEY,
     dedupe_columns,
@@ -30,7 +33,10 @@ from tickloom.sources.lake import (
     PARTITION,
     Lake,
     bars_schema,
+    has_history,
+    history_name,
     load_dividends,
+    load_history,
     load_ledger,
     load_splits,
 )
@@ -84,35 +90,86 @@ def write_staged_bars(lake: Lake, staged: DataFrame, freq: str) -> list[str]:
     return [f"{part}={value}" for value in touched]
 
 
-def _merge_table(lake: Lake, df: DataFrame, name: str, key: Sequence[str], schema) -> str:
+def _merge_table(
+    lake: Lake, df: DataFrame, name: str, key: Sequence[str], schema, mode: str, at
+) -> str:
+    if mode not in ("keep", "upsert"):
+        raise ValueError(f"mode is keep or upsert, not {mode!r}")
+    if mode == "upsert" or has_history(lake, name):
+        update_history(lake, df, name, key, at or datetime.now(UTC), mode == "upsert")
+        return lake.path(history_name(name))
     unique = drop_duplicates_keep_first(df, key)
     fresh = new_rows(lake.table(name, schema), unique, key)
     _append(fresh, lake.path(name), None, list(key))
     return lake.path(name)
 
 
+def update_history(
+    lake: Lake, df: DataFrame, name: str, key: Sequence[str], at: datetime | date, update: bool = True
+) -> list[int]:
+    """Merge a batch into the history of a table; returns the partitions it changed.
+
+    Partitions are dealt by key. Only those that keys of the batch fall into are read, and only
+    those in which a row was added or changed are written again; a batch that brings nothing
+    new writes nothing. A run that died is completed by running the batch again.
+    """
+    with scratch_run(lake.spark, lake.path("staging")):
+        if not has_history(lake, name):
+            flat = load_history(lake, name).withColumn(versions.PART, versions.part_of(key))
+            _replace(lake, stage(flat, f"{name}-flat"), history_name(name), versions.PART)
+        batch = drop_duplicates_keep_first(df, key).withColumn(versions.PART, versions.part_of(key))
+        batch = stage(batch, f"{name}-batch")
+        parts = [r[0] for r in batch.select(versions.PART).distinct().collect()]
+        history = load_history(lake, name, parts)
+        after = versions.next_versions(history, batch.drop(versions.PART), key, at, update)
+        after = stage(after.withColumn(versions.PART, versions.part_of(key)), f"{name}-versions")
+        changed = sorted(r[0] for r in after.where("touched").select(versions.PART).distinct().collect())
+        if changed:
+            rows = after.where(F.col(versions.PART).isin(changed)).drop("touched")
+            writer = _by_part(rows, key).write.mode("overwrite")
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(versions.PART)
+            writer.parquet(lake.path(history_name(name)))
+            lake.spark.catalog.refreshByPath(lake.path(history_name(name)))
+        return changed
+
+
+def _by_part(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    order = [versions.PART, *key, versions.VALID_FROM]
+    return rows.hint("rebalance", versions.PART).sortWithinPartitions(*order)
+
+
 def _typed(df: DataFrame, schema) -> DataFrame:
     """Cast known columns to the table's types; others stay."""
     types = {f.name: f.dataType for f in schema.fields if f.name in df.columns}
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
 
 
-def write_security_master(lake: Lake, df: DataFrame) -> str:
-    """Merge securities by symbol."""
+def write_security_master(
+    lake: Lake, df: DataFrame, mode: str = "keep", at: datetime | date | None = None
+) -> str:
+    """Merge securities by symbol.
+
+    ``keep`` leaves what is stored; ``upsert`` opens a new version, valid from ``at`` (default:
+    now), of every security whose values differ. A table that was once updated stays versioned.
+    """
     schema = schemas.SECURITY_MASTER
-    return _merge_table(lake, _typed(df, schema), "security_master", ["symbol"], schema)
+    return _merge_table(lake, _typed(df, schema), "security_master", ["symbol"], schema, mode, at)
 
 
-def write_splits(lake: Lake, df: DataFrame) -> str:
-    """Merge split events by symbol and execution date."""
+def write_splits(
+    lake: Lake, df: DataFrame, mode: str = "keep", at: datetime | date | None = None
+) -> str:
+    """Merge split events by symbol and execution date; modes as for securities."""
     key = dedupe_columns(df, ["symbol", "execution_date"])
-    return _merge_table(lake, _typed(df, schemas.SPLITS), "splits", key, schemas.SPLITS)
+    return _merge_table(lake, _typed(df, schemas.SPLITS), "splits", key, schemas.SPLITS, mode, at)
 
 
-def write_dividends(lake: Lake, df: DataFrame) -> str:
-    """Merge dividend events by symbol and ex-dividend date."""
-    key = dedupe_columns(df, ["symbol", "ex_dividend_date"])
-    return _merge_table(lake, _typed(df, schemas.DIVIDENDS), "dividends", key, schemas.DIVIDENDS)
+def write_dividends(
+    lake: Lake, df: DataFrame, mode: str = "keep", at: datetime | date | None = None
+) -> str:
+    """Merge dividend events by symbol and ex-dividend date; modes as for securities."""
+    key, schema = dedupe_columns(df, ["symbol", "ex_dividend_date"]), schemas.DIVIDENDS
+    return _merge_table(lake, _typed(df, schema), "dividends", key, schema, mode, at)
 
 
 def write_universe(lake: Lake, snapshots: DataFrame) -> str:
@@ -141,11 +198,11 @@ def replace_universe(lake: Lake, snapshots: DataFrame) -> str:
     return path
 
 
-def _replace(lake: Lake, table: DataFrame, name: str) -> str:
+def _replace(lake: Lake, table: DataFrame, name: str, partition: str | None = None) -> str:
     """Write a table beside the old one, then swap them: a run that fails leaves the old one."""
     path, new = lake.path(name), lake.path(f"{name}.new-{uuid.uuid4().hex}")
     old = new.replace(".new-", ".old-")
-    table.write.parquet(new)
+    (table.write.partitionBy(partition) if partition else table.write).parquet(new)
     had = move(lake.spark, path, old)
     move(lake.spark, new, path)
     lake.spark.catalog.refreshByPath(path)
@@ -202,6 +259,7 @@ __all__ = [
     "record_days",
     "replace_universe",
     "unique_bars",
+    "update_history",
     "with_partition",
     "write_bars",
     "write_dividends",

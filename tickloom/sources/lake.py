@@ -5,6 +5,7 @@ Layout below the root::
     bars_1d/year=YYYY/        bars_1min/date=YYYY-MM-DD/    (UTC dates)
     splits/ dividends/ split_ratios/ cash_dividends/
     universe/date=YYYY-MM-DD/  security_master/  ledger/
+    <table>_history/part=N/    every version of a table that is updated in place
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import types as T
 
 from tickloom import schemas
 from tickloom.functions.scalars import freq_checked, instant, utc_date
-from tickloom.operators import actions
+from tickloom.operators import actions, versions
+from tickloom.session import exists
 
 # Partition column of each bar table.
 PARTITION = {"1d": "year", "1min": "date"}
@@ -125,19 +127,64 @@ def scan_foreign_bars(spark: SparkSession, root: str, freq: str) -> DataFrame:
     return bars.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
-def load_security_master(lake: Lake) -> DataFrame:
-    """Security master with all columns stored; seven empty ones where it does not exist."""
-    return lake.table("security_master", schemas.SECURITY_MASTER, extras=True)
+#: Tables that can be updated: their schema.
+VERSIONED = {
+    "security_master": schemas.SECURITY_MASTER,
+    "splits": schemas.SPLITS,
+    "dividends": schemas.DIVIDENDS,
+}
 
 
-def load_splits(lake: Lake) -> DataFrame:
-    """Split events with all columns stored."""
-    return lake.table("splits", schemas.SPLITS, extras=True)
+def history_name(name: str) -> str:
+    return f"{name}_history"
 
 
-def load_dividends(lake: Lake) -> DataFrame:
-    """Dividend events with all columns stored."""
-    return lake.table("dividends", schemas.DIVIDENDS, extras=True)
+def has_history(lake: Lake, name: str) -> bool:
+    """Whether a table was ever updated. From then on its history holds it."""
+    return exists(lake.spark, lake.path(history_name(name)))
+
+
+def load_history(lake: Lake, name: str, parts: list[int] | None = None) -> DataFrame:
+    """Every version of a table's rows with ``valid_from`` and ``valid_to``.
+
+    A table that was never updated has one version of each row, valid since ever. ``parts``
+    limits the history to partitions of its keys.
+    """
+    schema = VERSIONED[name]
+    if not has_history(lake, name):
+        table = lake.table(name, schema, extras=True)
+        always = {f.name: F.lit(None).cast(f.dataType) for f in versions.PERIOD_FIELDS}
+        return table.withColumns(always)
+    part = T.StructField(versions.PART, T.IntegerType())
+    stored = T.StructType([*schema.fields, *versions.PERIOD_FIELDS, part])
+    history = lake.table(history_name(name), stored, extras=True)
+    if parts is not None:
+        history = history.where(F.col(versions.PART).isin(parts))
+    return history.drop(versions.PART)
+
+
+def _load(lake: Lake, name: str, as_of: datetime | date | None) -> DataFrame:
+    if has_history(lake, name):
+        return versions.as_of(load_history(lake, name), as_of)
+    return lake.table(name, VERSIONED[name], extras=True)
+
+
+def load_security_master(lake: Lake, as_of: datetime | date | None = None) -> DataFrame:
+    """Security master with all columns stored; seven empty ones where it does not exist.
+
+    ``as_of`` gives the rows as they were known then (a plain date: at its beginning).
+    """
+    return _load(lake, "security_master", as_of)
+
+
+def load_splits(lake: Lake, as_of: datetime | date | None = None) -> DataFrame:
+    """Split events with all columns stored, as known now or at ``as_of``."""
+    return _load(lake, "splits", as_of)
+
+
+def load_dividends(lake: Lake, as_of: datetime | date | None = None) -> DataFrame:
+    """Dividend events with all columns stored, as known now or at ``as_of``."""
+    return _load(lake, "dividends", as_of)
 
 
 def load_split_ratio_table(
@@ -145,9 +192,16 @@ def load_split_ratio_table(
     start: date | None = None,
     end: date | None = None,
     symbols: list[str] | None = None,
+    as_of: datetime | date | None = None,
 ) -> DataFrame:
-    """Split ratios ``(date, symbol, split_ratio)`` with optional filters."""
-    table = lake.table("split_ratios", schemas.SPLIT_RATIOS)
+    """Split ratios ``(date, symbol, split_ratio)`` with optional filters.
+
+    With ``as_of`` they are built from the events known then, not read from the stored table.
+    """
+    if as_of is None:
+        table = lake.table("split_ratios", schemas.SPLIT_RATIOS)
+    else:
+        table = actions.build_split_ratios(load_splits(lake, as_of), start, end)
     return actions.filter_actions(table, start, end, symbols)
 
 
@@ -156,9 +210,16 @@ def load_dividend_cash_table(
     start: date | None = None,
     end: date | None = None,
     symbols: list[str] | None = None,
+    as_of: datetime | date | None = None,
 ) -> DataFrame:
-    """Cash dividends ``(date, symbol, cash_amount)`` with optional filters."""
-    table = lake.table("cash_dividends", schemas.CASH_DIVIDENDS)
+    """Cash dividends ``(date, symbol, cash_amount)`` with optional filters.
+
+    With ``as_of`` they are built from the events known then, not read from the stored table.
+    """
+    if as_of is None:
+        table = lake.table("cash_dividends", schemas.CASH_DIVIDENDS)
+    else:
+        table = actions.build_cash_dividends(load_dividends(lake, as_of), start, end)
     return actions.filter_actions(table, start, end, symbols)
 
 
