@@ -660,3 +660,10 @@ ORACLES["adjusted_close_panel_as_of"] = (
     + " UNION ALL "
     + _known("CASE WHEN o_orderkey % 5 = 0 THEN 1.0 ELSE 0.0 END", "2003-01-01")
 )
+
+ORACLES["lake_adjusted_prices_by_symbol"] = ORACLES["lake_adjusted_prices"]
+
+ORACLES["lake_symbol_lookup"] = """
+SELECT CAST(l_shipdate AS TIMESTAMP) AS timestamp, CAST(l_partkey AS VARCHAR) AS symbol,
+  max(l_extendedprice / l_quantity) AS close, CAST(sum(l_quantity) AS DOUBLE) AS volume
+FROM lineitem WHERE l_partkey IN (17, 42) GROUP BY ALL"""

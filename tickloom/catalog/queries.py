@@ -669,3 +669,37 @@ def adjusted_close_panel_as_of(spark, sf_dir):
         for day in (date(2002, 3, 1), date(2003, 1, 1))
     ]
     return known[0].union(known[1])
+
+
+@query
+def lake_adjusted_prices_by_symbol(spark, sf_dir):
+    """Adjusted closes from daily bars in buckets by symbol, half of them merged later."""
+    lake = _lake(spark, "by-symbol")
+    bars = fx.bars_1d(spark, sf_dir)
+    early = F.year("timestamp") < 1998
+    sink.write_bars(lake, bars.where(early), "1d")
+    sink.lay_out_by_symbol(lake, 8)
+    sink.write_bars(lake, bars, "1d")
+    order = F.col("event_id").alias(merge.INGEST_SEQ)
+    sink.write_splits(lake, fx.splits(spark, sf_dir).select("*", order))
+    sink.write_dividends(lake, fx.dividends(spark, sf_dir).select("*", order))
+    sink.build_corporate_actions_tables(lake)
+    return prices.load_adjusted_prices(lake, "1d", fx.DAILY_SYMBOLS, *DAILY_SPAN, layout="symbol")
+
+
+@query
+def lake_symbol_lookup(spark, sf_dir):
+    """Stored bars of one part of a market in which every part traded is a symbol."""
+    lake = _lake(spark, "lookup")
+    trades = fx.table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    stamp = F.col("l_shipdate").cast("timestamp").alias("timestamp")
+    bars = trades.groupBy(stamp, F.col("l_partkey").cast("string").alias("symbol")).agg(
+        *[agg(price).alias(f) for f, agg in (("open", F.min), ("high", F.max), ("low", F.min), ("close", F.max))],
+        F.max(price).alias("vwap"),
+        F.sum("l_quantity").alias("volume"),
+        F.count("*").alias("n_trades"),
+    )
+    sink.write_bars(lake, bars, "1d")
+    found = src.scan_bars(lake, "1d")
+    return normalize.for_symbols(found, ["17", "42", "no such"]).select("timestamp", "symbol", "close", "volume")

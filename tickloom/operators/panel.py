@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,7 @@ class PanelRequest:
     fields: tuple[str, ...]
     fill: bool = True
     closed: str = "left"
+    buckets: int | None = None
 
     @property
     def days(self) -> tuple[date, date]:
@@ -60,9 +62,10 @@ def panel_request(
     fields: list[str] | None = None,
     fill_missing_bars: bool = True,
     closed: str = "left",
+    buckets: int | None = None,
 ) -> PanelRequest:
     """Check the arguments; naive datetimes are taken as UTC, and a plain date as end means
-    the whole of that day."""
+    the whole of that day. ``buckets`` says that the bars are dealt by symbol into so many."""
     if not symbols:
         raise ValueError("symbols must be a non-empty list")
     freq_checked(freq)
@@ -78,6 +81,7 @@ def panel_request(
         tuple(dict.fromkeys(fields)),
         fill_missing_bars,
         closed,
+        buckets if freq == "1d" else None,
     )
 
 
@@ -109,14 +113,16 @@ def price_panel(
     fields: list[str] | None = None,
     fill_missing_bars: bool = True,
     closed: str = "left",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Dense long panel. Prices are carried forward, volume and trade counts filled with 0;
     there is no back fill, and nothing is carried in from before ``start``.
 
     Two bars of one symbol at one time are an error in a single-field panel and averaged
-    in a multi-field one.
+    in a multi-field one. Daily bars read from a table of so many ``buckets`` by symbol are
+    not exchanged.
     """
-    req = panel_request(freq, symbols, start, end, fields, fill_missing_bars, closed)
+    req = panel_request(freq, symbols, start, end, fields, fill_missing_bars, closed, buckets)
     panel = _build(bars, req)
     return panel.select("timestamp", "symbol", *req.fields)
 
@@ -131,12 +137,13 @@ def adjusted_price_panel(
     end: datetime,
     price_field: str = "close",
     quality: Observation | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Filled prices x split factor x dividend factor, relative to the end of the range.
 
     ``quality`` receives the counts of repaired actions once the plan has run.
     """
-    req = panel_request(freq, symbols, start, end, [price_field])
+    req = panel_request(freq, symbols, start, end, [price_field], buckets=buckets)
     panel = _build(bars, req, split_ratios, cash_dividends, quality)
     adjusted = F.col(price_field) * F.col("split_factor") * F.col("dividend_factor")
     return panel.select("timestamp", "symbol", adjusted.alias(price_field))
@@ -150,9 +157,10 @@ def adjusted_volume_panel(
     start: datetime,
     end: datetime,
     volume_field: str = "volume",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Filled volumes / split factor."""
-    req = panel_request(freq, symbols, start, end, [volume_field])
+    req = panel_request(freq, symbols, start, end, [volume_field], buckets=buckets)
     panel = _build(bars, req, split_ratios)
     adjusted = F.col(volume_field) / F.col("split_factor")
     return panel.select("timestamp", "symbol", adjusted.alias(volume_field))
@@ -198,7 +206,8 @@ def _kind(rows: DataFrame, field: str) -> str:
 
 def _daily_panel(rows, req, splits, dividends, quality) -> DataFrame:
     """Bars, the grid and the actions are dealt by symbol once, as one table; what belongs to
-    one symbol and time, or to one symbol and date, then meets inside that partitioning."""
+    one symbol and time, or to one symbol and date, then meets inside that partitioning. Bars
+    that lie in buckets by symbol are dealt already, and the others join them there."""
     asked = _actions_asked(req, splits, dividends)
     kinds = {f: rows.schema[f].dataType for f in req.fields}
     kinds |= {col: table.schema[col].dataType for table, col in asked}
@@ -217,10 +226,16 @@ def _daily_panel(rows, req, splits, dividends, quality) -> DataFrame:
     grid = rows.select("timestamp").distinct().select(
         "timestamp", F.explode(F.lit(list(req.symbols))).alias("symbol")
     )
-    parts = bars.union(side(grid, **stamp))
-    for table, col in asked:
-        parts = parts.union(side(table, date=F.col("date"), **{col: F.col(col)}))
-    parts = parts.repartition("symbol")
+    others = [side(grid, **stamp)]
+    others += [side(table, date=F.col("date"), **{col: F.col(col)}) for table, col in asked]
+    if req.buckets:
+        others = [df.repartition(req.buckets, "symbol") for df in others]
+        # Spark compares how the sides of a union are dealt by their output columns; a column of
+        # a catalog table counts as its own output only under a name of its own
+        bars = bars.withColumnRenamed("symbol", "bucket_symbol")
+        parts = reduce(DataFrame.union, [*others, bars])
+    else:
+        parts = reduce(DataFrame.union, others, bars).repartition("symbol")
     names = [col for _, col in asked]
     if asked:
         same_day = Window.partitionBy("symbol", "date")

@@ -80,6 +80,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; nothing where there is none."""
+    files, at = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in files.listStatus(at)) if files.exists(at) else []
+
+
 def move(spark: SparkSession, path: str, to: str) -> bool:
     """Rename a folder; false where there is none."""
     files, at = _file_system(spark, path)

@@ -10,6 +10,7 @@ of versions, dealt by key, of which only the partitions that a batch changes are
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from datetime import UTC, date, datetime
@@ -30,23 +31,38 @@ from tickloom.operators.merge import (
 from tickloom.operators.normalize import validate_bars
 from tickloom.session import move, remove, scratch_run, stage
 from tickloom.sources.lake import (
+    BY_SYMBOL,
     PARTITION,
     Lake,
     bars_schema,
+    bucket_table,
     has_history,
     history_name,
     load_dividends,
     load_history,
     load_ledger,
     load_splits,
+    scan_bars,
+    scan_bars_by_symbol,
+    symbol_layout,
 )
 
+#: Symbols that a row group's Bloom filter is sized for: a day of a whole market.
+MARKET = 20_000
+
+
 def _append(df: DataFrame, path: str, partition: str | None, order: Sequence[str]) -> None:
     """Append files sorted for row-group pruning. The rebalance hint lets Spark split a
-    partition that holds much of the data and pack small ones."""
+    partition that holds much of the data and pack small ones.
+
+    Bars are looked up by symbol in files that hold part of the alphabet or all of it: beside
+    the least and largest symbol, each row group keeps a Bloom filter of its symbols.
+    """
     if partition:
         df = df.hint("rebalance", partition).sortWithinPartitions(partition, *order)
-        df.write.mode("append").partitionBy(partition).parquet(path)
+        writer = df.write.mode("append").partitionBy(partition)
+        writer = writer.option("parquet.bloom.filter.enabled#symbol", "true")
+        writer.option("parquet.bloom.filter.expected.ndv#symbol", str(MARKET)).parquet(path)
     else:
         df.hint("rebalance").sortWithinPartitions(*order).write.mode("append").parquet(path)
 
@@ -86,10 +102,55 @@ def write_staged_bars(lake: Lake, staged: DataFrame, freq: str) -> list[str]:
         return []
     existing = lake.table(f"bars_{freq}", bars_schema(freq)).where(F.col(part).isin(touched))
     fresh = new_rows(existing, staged, [part, *BAR_KEY])
+    if freq == "1d":
+        _append_by_symbol(lake, staged)
     _append(fresh, lake.bars_path(freq), part, ["symbol", "timestamp"])
     return [f"{part}={value}" for value in touched]
 
 
+def lay_out_by_symbol(lake: Lake, buckets: int = 64) -> str:
+    """Write the stored daily bars a second time, in buckets by symbol; returns the folder.
+
+    Later merges keep the layout up to date. It serves long ranges of symbols: a daily panel
+    then needs no exchange of the bars, and a few symbols are read from their buckets alone.
+    Minute panels are dealt by symbol and date, which buckets by symbol would not serve. A
+    layout of another number of buckets takes the place of the old one when it is complete.
+    """
+    spark, old = lake.spark, symbol_layout(lake)
+    path = lake.path(BY_SYMBOL, f"buckets-{buckets}-{time.time_ns()}")
+    bars = scan_bars(lake, "1d").select(*schemas.BARS.names)
+    _insert_by_symbol(bars, bucket_table(spark, path, buckets), buckets)
+    if old is not None:
+        spark.sql(f"DROP TABLE {bucket_table(spark, *old)}")
+        remove(spark, old[0])
+    return path
+
+
+def _insert_by_symbol(bars: DataFrame, table: str, buckets: int) -> None:
+    """One file a bucket: the exchange is the one that the buckets stand for."""
+    dealt = bars.select(*schemas.BARS.names).repartition(buckets, "symbol")
+    dealt.write.insertInto(table)
+    bars.sparkSession.catalog.refreshTable(table)
+
+
+def _append_by_symbol(lake: Lake, staged: DataFrame) -> None:
+    """Bring the layout by symbol up to date, where there is one.
+
+    What it lacks is told from the layout itself, not from the layout by date, so a run that
+    died between the two is completed by running it again. Stored keys stay in their buckets;
+    only the incoming ones are exchanged.
+    """
+    layout = symbol_layout(lake)
+    if layout is None:
+        return
+    edge = staged.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    stored, buckets = scan_bars_by_symbol(lake)
+    stored = stored.where(F.col("timestamp").between(F.lit(edge.lo), F.lit(edge.hi)))
+    fresh = new_rows(stored, staged, list(BAR_KEY))
+    fresh = stage(_typed(fresh, schemas.BARS), "by-symbol")
+    _insert_by_symbol(fresh, bucket_table(lake.spark, *layout), buckets)
+
+
 def _merge_table(
     lake: Lake, df: DataFrame, name: str, key: Sequence[str], schema, mode: str, at
 ) -> str:
@@ -255,6 +316,7 @@ __all__ = [
     "build_corporate_actions_tables",
     "build_dividend_cash_table",
     "build_split_ratio_table",
+    "lay_out_by_symbol",
     "record",
     "record_days",
     "replace_universe",

@@ -5,11 +5,13 @@ Layout below the root::
     bars_1d/year=YYYY/        bars_1min/date=YYYY-MM-DD/    (UTC dates)
     splits/ dividends/ split_ratios/ cash_dividends/
     universe/date=YYYY-MM-DD/  security_master/  ledger/
+    bars_1d_by_symbol/buckets-N-.../    daily bars a second time, bucketed by symbol
     <table>_history/part=N/    every version of a table that is updated in place
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 from tickloom import schemas
 from tickloom.functions.scalars import freq_checked, instant, utc_date
 from tickloom.operators import actions, versions
-from tickloom.session import exists
+from tickloom.session import children, exists
 
 # Partition column of each bar table.
 PARTITION = {"1d": "year", "1min": "date"}
@@ -90,6 +92,56 @@ def scan_bars(
     return bars.drop(part)
 
 
+BY_SYMBOL = "bars_1d_by_symbol"
+
+
+def symbol_layout(lake: Lake) -> tuple[str, int] | None:
+    """Folder and number of buckets of the daily bars by symbol; None where they are not laid out.
+
+    The newest finished folder counts: one that is being written has no mark of success yet.
+    """
+    done = [
+        name for name in children(lake.spark, lake.path(BY_SYMBOL))
+        if name.startswith("buckets-") and exists(lake.spark, lake.path(BY_SYMBOL, name, "_SUCCESS"))
+    ]
+    if not done:
+        return None
+    newest = max(done, key=lambda name: int(name.split("-")[2]))
+    return lake.path(BY_SYMBOL, newest), int(newest.split("-")[1])
+
+
+def bucket_table(spark: SparkSession, path: str, buckets: int) -> str:
+    """The catalog's name of a folder of bars that is bucketed by symbol. Spark knows buckets only
+    of tables in a catalog, and the catalog of a session may not know the folder yet."""
+    name = f"tickloom_{hashlib.md5(path.encode()).hexdigest()}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.BARS)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (symbol) "
+        f"SORTED BY (symbol, timestamp) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    spark.catalog.refreshTable(name)
+    return name
+
+
+def scan_bars_by_symbol(
+    lake: Lake, start: datetime | None = None, end: datetime | None = None
+) -> tuple[DataFrame, int]:
+    """Daily bars as they lie in the layout by symbol, and how many buckets that has.
+
+    A filter on symbols reads their buckets alone, and what is grouped by symbol needs no
+    exchange of the bars.
+    """
+    layout = symbol_layout(lake)
+    if layout is None:
+        raise FileNotFoundError(f"{lake.path(BY_SYMBOL)}: lay the daily bars out by symbol first")
+    bars = lake.spark.table(bucket_table(lake.spark, *layout))
+    if start is not None:
+        bars = bars.where(F.col("timestamp") >= instant(start))
+    if end is not None:
+        bars = bars.where(F.col("timestamp") <= instant(end))
+    return bars, layout[1]
+
+
 def trading_day_bars(lake: Lake, freq: str, days: list[date]) -> DataFrame:
     """Stored bars of some trading days, with their day in ``trading_day``.
 
