@@ -110,6 +110,37 @@ def test_rank_of_a_hot_day_is_spread(spark, big_joins):
     assert windows and all("_cut" in w for w in windows)
 
 
+def day_of_equal_values(spark):
+    return spark.range(60_000).select(
+        F.lit(date(2024, 1, 2)).alias("date"), F.format_string("S%05d", "id").alias("symbol"),
+        F.when(F.col("id") % 4 == 0, F.rand(5)).otherwise(F.lit(7.0)).alias("notional"),
+    )
+
+
+def test_a_day_of_equal_values_is_split(spark, big_joins):
+    """A value of three quarters of a large day, by the beginnings of its symbols."""
+    df = universe.rank_descending(day_of_equal_values(spark), "date", "notional", "symbol", "rank")
+    plan = final_plan(df)
+    bands = re.search(r"Window \[row_number\(\) windowspecdefinition\((.*?) DESC", plan).group(1)
+    assert "_cut" in bands and "_head" in bands
+    assert df.agg(F.max("rank"), F.count_distinct("rank")).first()[:] == (60_000, 60_000)
+    assert df.where("notional = 7").orderBy("rank").first().symbol == "S00001"
+
+
+def test_a_wide_market_is_scanned_once(spark, tmp_path):
+    trades = skewed_bars(spark).withColumn("date", F.to_date("timestamp"))
+    trades.write.parquet(f"{tmp_path}/trades")
+    df = universe.build_universe(spark.read.parquet(f"{tmp_path}/trades"))
+    plan = final_plan(df)
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+
+
+def test_the_top_of_a_day_is_limited_before_the_exchange(spark, tmp_path):
+    trades = skewed_bars(spark).withColumn("date", F.to_date("timestamp"))
+    plan = final_plan(universe.top_notional(trades, 3))
+    assert re.search(r"WindowGroupLimit \[date#\d+\].*3, Partial", plan)
+
+
 def exchanged_columns(plan):
     """The hash exchanges of the final plan, with what they are keyed by."""
     return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\), (\w+)", plan)

@@ -44,7 +44,8 @@ def test_null_and_missing_values(spark):
     assert {r.notional for r in uni.build_universe(bare, F.to_date("timestamp")).collect()} == {0.0}
 
 
-def test_rank_matches_a_plain_sort(spark):
+@pytest.mark.parametrize("large", [uni.LARGE, 100, 0])
+def test_rank_matches_a_plain_sort(spark, large):
     """Bands, ties, zeros, negatives, infinities and nulls rank as one sort would."""
     rng = random.Random(7)
     pool = [0.0, -0.0, 1.0, 1.0, 2.5, 1e-300, 1e300, float("inf"), -3.0, -0.5, None, 7.0, 7.0000001]
@@ -56,7 +57,7 @@ def test_rank_matches_a_plain_sort(spark):
     df = spark.createDataFrame(rows, "day string, symbol string, v double")
     got = {
         (r.day, r.symbol): r.rank
-        for r in uni.rank_descending(df, "day", "v", "symbol", "rank").collect()
+        for r in uni.rank_descending(df, "day", "v", "symbol", "rank", large).collect()
     }
     for day in ("d1", "d2"):
         ranked = sorted(
@@ -68,6 +69,24 @@ def test_rank_matches_a_plain_sort(spark):
         assert {k: v for k, v in got.items() if k[0] == day} == want
 
 
+def test_top_of_every_day_is_that_of_the_full_rank(spark):
+    rng = random.Random(3)
+    rows = [
+        (f"2024-01-{d:02d} 15:00", f"s{i}", rng.choice([1.0, 2.0, 3.0, None]))
+        for d in range(1, 9) for i in range(rng.randrange(1, 9))
+    ]
+    bars = close_bars(spark, rows)
+    for n in (1, 3, 20):
+        full = uni.build_universe(bars, F.to_date("timestamp"))
+        # a day of few symbols with a notional is filled up with those that have none
+        want = full.where(F.coalesce("rank", F.lit(0)) <= n).where("rank is not null")
+        got = uni.top_notional(bars, n, F.to_date("timestamp"))
+        cols = ("date", "symbol", "notional", "rank")
+        assert table(got.where("rank is not null"), *cols) == table(want, *cols)
+        sizes = {r.date: r["count"] for r in got.groupBy("date").count().collect()}
+        assert sizes == {r.date: min(n, r["count"]) for r in full.groupBy("date").count().collect()}
+
+
 def test_snapshot_is_stored_and_queried(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     day = date(2024, 1, 2)

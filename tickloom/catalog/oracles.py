@@ -667,3 +667,5 @@ ORACLES["lake_symbol_lookup"] = """
 SELECT CAST(l_shipdate AS TIMESTAMP) AS timestamp, CAST(l_partkey AS VARCHAR) AS symbol,
   max(l_extendedprice / l_quantity) AS close, CAST(sum(l_quantity) AS DOUBLE) AS volume
 FROM lineitem WHERE l_partkey IN (17, 42) GROUP BY ALL"""
+
+ORACLES["universe_top_n_wide"] = f"SELECT * FROM ({ORACLES['universe_wide_market']}) WHERE rank <= 3"

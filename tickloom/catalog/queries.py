@@ -293,23 +293,31 @@ def universe_snapshot(spark, sf_dir):
     return universe.build_universe(fx.bars_1min(spark, sf_dir), F.to_date("timestamp"))
 
 
-@query
-def universe_wide_market(spark, sf_dir):
-    """Every part traded on a day is a symbol: many symbols per day, ranked."""
-    trades = fx.table(spark, sf_dir, "lineitem").select(
+def _traded_parts(spark, sf_dir):
+    return fx.table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("l_partkey").cast("string").alias("symbol"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp"),
         F.lit(1.0).alias("close"),
         F.col("l_quantity").alias("volume"),
     )
-    return universe.build_universe(trades)
+
+
+@query
+def universe_wide_market(spark, sf_dir):
+    """Every part traded on a day is a symbol: many symbols per day, ranked."""
+    return universe.build_universe(_traded_parts(spark, sf_dir))
 
 
 @query
 def universe_top_n(spark, sf_dir):
-    snapshots = universe.build_universe(fx.bars_1min(spark, sf_dir), F.to_date("timestamp"))
-    return universe.top_symbols_by_day(snapshots, 2)
+    return universe.top_notional(fx.bars_1min(spark, sf_dir), 2, F.to_date("timestamp"))
+
+
+@query
+def universe_top_n_wide(spark, sf_dir):
+    """The largest three parts of every day, of all that are traded."""
+    return universe.top_notional(_traded_parts(spark, sf_dir), 3)
 
 
 # ---------------------------------------------------------------- calendar
