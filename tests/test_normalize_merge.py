@@ -23,6 +23,15 @@ def test_epoch_unit_follows_the_largest_value(spark):
     assert mixed == ["1970-01-01 00:28:24.2016", "2024-01-02 13:20:00"]
 
 
+def test_microseconds_are_a_unit_of_their_own(spark):
+    assert stamps(spark, [1704201600123456]) == ["2024-01-02 13:20:00.123456"]
+    raw = spark.createDataFrame([("A", 1704201600123456)], "ticker string, window_start bigint")
+    old = norm.normalize_bars(raw, original_units=True)
+    assert table(old, "timestamp") == [("1970-01-20 17:23",)]
+    for stamp, year in ((-5, 1969), (10**8, 1973), (10**17 + 1, 1973), (10**14 + 1, 1973), (10**11 + 1, 1973)):
+        assert stamps(spark, [stamp])[0].startswith(str(year))
+
+
 def test_text_stamps(spark):
     assert stamps(spark, ["2024-01-02T13:20:00Z"], "string") == ["2024-01-02 13:20:00"]
     assert stamps(spark, ["2024-01-02 13:20:00+02:00"], "string") == ["2024-01-02 11:20:00"]

@@ -669,3 +669,20 @@ SELECT CAST(l_shipdate AS TIMESTAMP) AS timestamp, CAST(l_partkey AS VARCHAR) AS
 FROM lineitem WHERE l_partkey IN (17, 42) GROUP BY ALL"""
 
 ORACLES["universe_top_n_wide"] = f"SELECT * FROM ({ORACLES['universe_wide_market']}) WHERE rank <= 3"
+
+ORACLES["raw_bars_micros"] = ORACLES["raw_bars_normalised"]
+
+ORACLES["stream_universe_windowed"] = f"""WITH {UNIVERSE}
+SELECT * FROM universe
+WHERE date + INTERVAL 1 DAY <= (SELECT max(timestamp) FROM bars_1min) - INTERVAL 3 DAY"""
+
+ORACLES["raw_parquet_bars"] = f"""WITH {BARS_EVENT_DAYS}
+SELECT timestamp, symbol, close, close AS vwap, CAST(volume AS DOUBLE) AS volume, n_trades,
+  CAST(timestamp AS DATE) AS trading_day FROM bars_day"""
+
+ORACLES["universe_days"] = f"""WITH {BARS_EVENT_DAYS},{SESSIONS},{LEDGER}
+SELECT CAST(timestamp AS DATE) AS date, symbol, close * CAST(volume AS DOUBLE) AS notional
+FROM bars_day WHERE CAST(timestamp AS DATE) IN (
+  SELECT date FROM sessions WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31')
+  AND CAST(timestamp AS DATE) NOT IN (
+  SELECT date FROM ledger WHERE freq = '1d' AND status = 'complete')"""

@@ -19,6 +19,7 @@ from tickloom.sources import raw
 from tickloom.sources.lake import Lake
 from tickloom.sources.reference import read_records
 from tickloom.streaming.ingest import stream_bars
+from tickloom.streaming.universe import stream_daily_universe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,6 +240,14 @@ def raw_bars_normalised(spark, sf_dir):
     return normalize.normalize_bars(fx.raw_bars(fx.bars_1d(spark, sf_dir)))
 
 
+@query
+def raw_bars_micros(spark, sf_dir):
+    """Bars whose vendor writes epoch microseconds."""
+    raw_bars = fx.raw_bars(fx.bars_1d(spark, sf_dir))
+    micros = raw_bars.withColumn("window_start", F.expr("window_start div 1000"))
+    return normalize.normalize_bars(micros)
+
+
 @query
 def symbol_filter(spark, sf_dir):
     bars = normalize.normalize_bars(fx.raw_bars(fx.bars_1min(spark, sf_dir)))
@@ -711,3 +720,42 @@ def lake_symbol_lookup(spark, sf_dir):
     sink.write_bars(lake, bars, "1d")
     found = src.scan_bars(lake, "1d")
     return normalize.for_symbols(found, ["17", "42", "no such"]).select("timestamp", "symbol", "close", "volume")
+
+
+@query
+def stream_universe_windowed(spark, sf_dir):
+    """Universes of the days that a stream over stored bars has closed, after three runs; bars
+    of a day that was closed before come too late."""
+    lake, first = _lake(spark, "windows"), F.lit(MINUTE_DATES[0])
+    bars = fx.bars_1min(spark, sf_dir)
+    third = F.floor(F.datediff(F.to_date("timestamp"), first) / 10)
+    late = bars.where(F.to_date("timestamp") == F.lit(date(2024, 1, 3))).withColumn("symbol", F.lit("late"))
+    offsets = scratch_path(spark, "window-offsets")
+    for i in range(3):
+        batch = bars.where(third >= 2 if i == 2 else third == i)
+        sink.write_bars(lake, batch.union(late) if i == 2 else batch, "1min")
+        stream_daily_universe(lake, "1min", offsets, delay="3 days").awaitTermination()
+    return src.load_universe(lake)
+
+
+@query
+def raw_parquet_bars(spark, sf_dir):
+    """Raw day files in Parquet, under the vendor's own names."""
+    root = scratch_path(spark, "raw-parquet")
+    day = F.to_date(F.timestamp_micros(F.expr("window_start div 1000"))).alias("day")
+    raw_bars = fx.raw_bars(fx.bars_event_days(spark, sf_dir)).select("*", day)
+    raw_bars.repartition("day").write.partitionBy("day").parquet(root)
+    files = raw.list_files(spark, root, "parquet")
+    paths = [r.path for r in files.select("path").orderBy("path").collect()]
+    bars = raw.bars_from_files(spark, paths)
+    return bars.select("timestamp", "symbol", "close", "vwap", "volume", "n_trades", raw.TRADING_DAY)
+
+
+@query
+def universe_days(spark, sf_dir):
+    """Notionals of a day by the day of its file, and the ledger's days that follow it."""
+    missing = ledger.missing_days(
+        sessions.sessions(spark, *MINUTE_DATES).select("date"), fx.ledger(spark, sf_dir), "1d"
+    )
+    notional = universe.daily_notional(fx.bars_event_days(spark, sf_dir), F.to_date("timestamp"))
+    return notional.join(missing, "date", "left_semi")

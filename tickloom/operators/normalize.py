@@ -40,9 +40,12 @@ ALIASES = {
 # Names of vendor reference records and of our columns.
 REFERENCE_NAMES = {"ticker": "symbol", "primary_exchange": "exchange", "active": "is_active"}
 
-# Epoch thresholds; the largest stamp of a file decides its unit.
-ABOVE_IS_NANOS = 1_000_000_000_000_000
-ABOVE_IS_MILLIS = 1_000_000_000_000
+#: Epoch stamps above these are of that unit, else seconds; the largest stamp of a file decides.
+#: They tell all four units apart for times since 1973.
+UNITS = {"nanos": 10**17, "micros": 10**14, "millis": 10**11}
+
+# Thresholds without microseconds, which take them for nanoseconds.
+ORIGINAL_UNITS = {"nanos": 10**15, "millis": 10**12}
 
 def canonical_names(columns: Sequence[str]) -> list[str]:
     """Bar column name for each raw column, by position; unknown names stay."""
@@ -70,17 +73,26 @@ def _floor_div(value: Column, by: int) -> Column:
     return ((value - F.pmod(value, F.lit(by))) / F.lit(by)).cast("bigint")
 
 
-def epoch_timestamp(value: Column, largest: Column) -> Column:
-    """Epoch number to timestamp; the unit follows from the largest value."""
-    whole = value.cast("bigint")
-    return (
-        F.when(largest > ABOVE_IS_NANOS, F.timestamp_micros(_floor_div(whole, 1000)))
-        .when(largest > ABOVE_IS_MILLIS, F.timestamp_millis(whole))
-        .otherwise(F.timestamp_seconds(whole))
-    )
+def epoch_timestamp(value: Column, largest: Column, original_units: bool = False) -> Column:
+    """Epoch number to timestamp; the unit follows from the largest value.
 
-
-def normalize_timestamp(df: DataFrame, per: str | None = None) -> DataFrame:
+    ``original_units`` uses the thresholds without microseconds.
+    """
+    whole = value.cast("bigint")
+    read = {
+        "nanos": F.timestamp_micros(_floor_div(whole, 1000)),
+        "micros": F.timestamp_micros(whole),
+        "millis": F.timestamp_millis(whole),
+    }
+    out = F.timestamp_seconds(whole)
+    for unit, above in reversed((ORIGINAL_UNITS if original_units else UNITS).items()):
+        out = F.when(largest > above, read[unit]).otherwise(out)
+    return out
+
+
+def normalize_timestamp(
+    df: DataFrame, per: str | None = None, original_units: bool = False
+) -> DataFrame:
     """``timestamp`` as a UTC instant, from epoch numbers or text.
 
     Whether stamps are numbers, and their unit, is decided per source file (``per`` names
@@ -108,7 +120,7 @@ def normalize_timestamp(df: DataFrame, per: str | None = None) -> DataFrame:
     else:
         df = df.join(df.groupBy(per).agg(*facts), per, "left")
         largest, has_text = F.col("_largest"), F.col("_has_text")
-    parsed = epoch_timestamp(as_number, largest)
+    parsed = epoch_timestamp(as_number, largest, original_units)
     if not _is_numeric(kind):
         parsed = F.when(has_text, stamp.cast("timestamp")).otherwise(parsed)
     return df.withColumn("timestamp", parsed).drop("_unit", "_largest", "_has_text")
@@ -162,9 +174,14 @@ def bad_cells(raw: DataFrame, per: str) -> DataFrame:
     )
 
 
-def normalize_bars(raw: DataFrame, per: str | None = None) -> DataFrame:
-    """Vendor rows to bars: names, instants, types, defaults. Unknown columns are kept."""
-    bars = normalize_timestamp(rename_bars(raw), per)
+def normalize_bars(
+    raw: DataFrame, per: str | None = None, original_units: bool = False
+) -> DataFrame:
+    """Vendor rows to bars: names, instants, types, defaults. Unknown columns are kept.
+
+    ``original_units`` reads epoch stamps without microseconds, as older lakes did.
+    """
+    bars = normalize_timestamp(rename_bars(raw), per, original_units)
     return fill_absent_columns(type_bars(bars))
 
 
