@@ -352,6 +352,9 @@ SELECT timestamp, {_wide("close")} FROM filled GROUP BY timestamp""",
         _filled("close"), "CAST(coalesce(volume, 0) AS DOUBLE) AS volume")})
 SELECT timestamp, {_wide("close", "close_")}, {_wide("volume", "volume_")}
 FROM filled GROUP BY timestamp""",
+    "panel_matrix_close": f"""WITH filled AS ({_daily(_filled("close"))})
+SELECT timestamp, symbol, CAST(dense_rank() OVER (ORDER BY symbol) - 1 AS INTEGER) AS slot, close
+FROM filled""",
     "split_ratio_table": f"""WITH {SPLITS}
 SELECT date, symbol, product(split_from / split_to) AS split_ratio FROM splits
 WHERE event_id % 74 <> 0 AND event_id % 111 <> 0 GROUP BY date, symbol""",

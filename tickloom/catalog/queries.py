@@ -144,6 +144,14 @@ def panel_wide_multi(spark, sf_dir):
     return panel.to_wide(long, symbols=fx.DAILY_SYMBOLS)
 
 
+@query
+def panel_matrix_close(spark, sf_dir):
+    """Closes as one array per timestamp, read back by slot of the symbol dictionary."""
+    bars, args = _daily(spark, sf_dir)
+    slots = panel.symbol_dictionary(bars)
+    return panel.from_matrix(panel.to_matrix(panel.price_panel(bars, *args), slots), slots)
+
+
 # ---------------------------------------------------------------- corporate actions
 
 

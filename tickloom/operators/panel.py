@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions import calendar as cal
 from tickloom.functions.scalars import (
@@ -456,3 +457,51 @@ def to_wide(
     ]
     return wide.select("timestamp", *names).orderBy("timestamp")
 
+
+def symbol_dictionary(rows: DataFrame) -> DataFrame:
+    """``(slot, symbol, n_slots)``: the symbols of a panel or of bars, numbered in their order.
+
+    The list is made in one aggregate: it is no longer than one row of the matrix that it is for.
+    """
+    found = rows.where(F.col("symbol").isNotNull()).agg(F.sort_array(F.collect_set("symbol")).alias("symbols"))
+    return found.select(F.posexplode("symbols").alias("slot", "symbol"), F.size("symbols").alias("n_slots"))
+
+
+def to_matrix(panel: DataFrame, dictionary: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """One row per timestamp, each field an array with one value per slot of the dictionary.
+
+    A wide panel past what columns can name: symbols are not collected to the driver, and the plan
+    does not grow with them. Symbols that are not in the dictionary are left out, slots without a
+    row are null, and a symbol that comes twice at one time is an error. Rows are in no order.
+    """
+    fields = list(fields or [f for f in VALUE_FIELDS if f in panel.columns])
+    slots = panel.select("timestamp", "symbol", *fields).join(dictionary, "symbol")
+    cells = F.sort_array(F.collect_list(F.struct("slot", *fields)))
+    rows = slots.groupBy("timestamp").agg(cells.alias("cells"), F.first("n_slots").alias("n_slots"))
+    return rows.select("timestamp", *[_aligned(panel, f).alias(f) for f in fields])
+
+
+def _aligned(panel: DataFrame, field: str) -> Column:
+    """Sorted cells of a time as an array by slot: nulls before the first, and after each cell up to
+    the next one's slot. Each cell is looked at once."""
+    kind, cells, width = panel.schema[field].dataType, F.col("cells"), F.col("n_slots")
+
+    def nulls(n: Column) -> Column:
+        return F.array_repeat(F.lit(None).cast(kind), n.cast("int"))
+
+    def run(cell: Column, i: Column) -> Column:
+        after = F.coalesce(F.get(cells, i + 1)["slot"], width)
+        return F.concat(F.array(cell[field]), nulls(after - cell["slot"] - 1))
+
+    ahead = nulls(F.get(cells, F.lit(0))["slot"])
+    out = F.concat(ahead, F.flatten(F.transform(cells, run)))
+    twice = F.raise_error(F.concat(F.lit("a symbol comes twice at "), F.col("timestamp").cast("string")))
+    return F.when(F.size(out) == width, out).otherwise(twice.cast(T.ArrayType(kind)))
+
+
+def from_matrix(matrix: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The long form of a matrix: a row per timestamp and slot, nulls included."""
+    fields = [c for c in matrix.columns if c != "timestamp"]
+    cells = matrix.select("timestamp", F.posexplode(F.arrays_zip(*fields)).alias("slot", "cell"))
+    rows = cells.join(dictionary.drop("n_slots"), "slot")
+    return rows.select("timestamp", "symbol", "slot", *[F.col(f"cell.{f}").alias(f) for f in fields])

@@ -148,7 +148,8 @@ def _ingest_files(
     symbols: list[str] | None,
     snapshots: bool,
 ) -> tuple[list[str], dict[date, Exception]]:
-    """All files in one job; if it fails, each half of the days, down to the day that is bad.
+    """All files in one job; if files cannot be read, each half of the days, down to the day that
+    is bad. Any other failure is raised at once, and the days stay as started.
 
     Merges keep existing rows, so what a failed attempt had written is not written again.
     """
@@ -159,6 +160,8 @@ def _ingest_files(
             bars = raw.bars_from_files(lake.spark, [path for _, path in files], materialize=True)
             return ingest(lake, for_symbols(bars, symbols), freq, snapshots).partitions, {}
     except Exception as error:  # noqa: BLE001 - whatever a reader or writer raises
+        if _readable(lake, files, symbols):
+            raise  # a full disk, a lost cluster: fewer days would not help
         days = sorted({d for d, _ in files})
         if len(days) == 1:
             return [], {days[0]: error}
@@ -168,6 +171,19 @@ def _ingest_files(
     return done[0][0] + done[1][0], done[0][1] | done[1][1]
 
 
+def _readable(lake: Lake, files: list[tuple[date, str]], symbols: list[str] | None) -> bool:
+    """Whether files can be read, parsed and validated, so that a failure was none of theirs.
+    A stopped session can tell nothing about files."""
+    if lake.spark.sparkContext._jsc.sc().isStopped():
+        return True
+    try:
+        bars = raw.bars_from_files(lake.spark, [path for _, path in files])
+        sink.unique_bars(for_symbols(bars, symbols)).write.format("noop").mode("overwrite").save()
+    except Exception:  # noqa: BLE001 - the caller tells why
+        return False
+    return True
+
+
 def _days_frame(lake: Lake, days: set[date]) -> DataFrame:
     return lake.spark.createDataFrame([(d,) for d in sorted(days)], "date date")
 

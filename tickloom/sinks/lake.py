@@ -12,15 +12,17 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
-from datetime import UTC, date, datetime
+from collections.abc import Callable, Sequence
+from dataclasses import replace
+from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom import schemas
-from tickloom.functions.scalars import freq_checked
+from tickloom.functions.scalars import freq_checked, in_range
 from tickloom.operators import actions, ledger, versions
 from tickloom.operators.merge import (
     BAR_KEY,
@@ -29,7 +31,8 @@ from tickloom.operators.merge import (
     new_rows,
 )
 from tickloom.operators.normalize import validate_bars
-from tickloom.session import move, remove, scratch_run, stage
+from tickloom.session import children, move, remove, scratch_run, stage
+from tickloom.sources import parts
 from tickloom.sources.lake import (
     BY_SYMBOL,
     PARTITION,
@@ -50,6 +53,9 @@ from tickloom.sources.lake import (
 #: Symbols that a row group's Bloom filter is sized for: a day of a whole market.
 MARKET = 20_000
 
+#: Up to so many symbols are named to a reader; more are met in a join, with the same rows.
+NAMED = 1000
+
 
 def _append(df: DataFrame, path: str, partition: str | None, order: Sequence[str]) -> None:
     """Append files sorted for row-group pruning. The rebalance hint lets Spark split a
@@ -237,10 +243,11 @@ def write_universe(lake: Lake, snapshots: DataFrame) -> str:
     """Merge universe snapshots by symbol within each day; only touched days are read."""
     key = ["date", "symbol"]
     unique = drop_duplicates_keep_first(snapshots.select(*schemas.UNIVERSE.names), key)
-    staged = stage(unique, "universe")
-    days = [r.date for r in staged.select("date").distinct().collect()]
-    existing = lake.table("universe", schemas.UNIVERSE).where(F.col("date").isin(days))
-    _append(new_rows(existing, staged, key), lake.path("universe"), "date", ["symbol"])
+    with scratch_run(lake.spark, lake.path("staging")):
+        staged = stage(unique, "universe")
+        days = [r.date for r in staged.select("date").distinct().collect()]
+        existing = lake.table("universe", schemas.UNIVERSE).where(F.col("date").isin(days))
+        _append(new_rows(existing, staged, key), lake.path("universe"), "date", ["symbol"])
     return lake.path("universe")
 
 
@@ -275,23 +282,113 @@ def _replace(lake: Lake, table: DataFrame, name: str, partition: str | None = No
 def build_split_ratio_table(
     lake: Lake, start: date | None = None, end: date | None = None
 ) -> str:
-    """Rebuild the split-ratio table from the split events; replaces it."""
-    table = actions.build_split_ratios(load_splits(lake), start, end)
-    return _replace(lake, table.select(*schemas.SPLIT_RATIOS.names), "split_ratios")
+    """Bring the split-ratio table up to date with the split events."""
+    return refresh_actions(
+        lake, "split_ratios", load_splits(lake), "execution_date", actions.build_split_ratios,
+        schemas.SPLIT_RATIOS, has_history(lake, "splits"), start, end,
+    )
 
 
 def build_dividend_cash_table(
     lake: Lake, start: date | None = None, end: date | None = None
 ) -> str:
-    """Rebuild the cash-dividend table from the dividend events; replaces it."""
-    table = actions.build_cash_dividends(load_dividends(lake), start, end)
-    return _replace(lake, table.select(*schemas.CASH_DIVIDENDS.names), "cash_dividends")
+    """Bring the cash-dividend table up to date with the dividend events."""
+    return refresh_actions(
+        lake, "cash_dividends", load_dividends(lake), "ex_dividend_date",
+        actions.build_cash_dividends, schemas.CASH_DIVIDENDS, has_history(lake, "dividends"),
+        start, end,
+    )
+
+
+def refresh_actions(
+    lake: Lake,
+    name: str,
+    events: DataFrame,
+    day: str,
+    build: Callable[..., DataFrame],
+    schema: T.StructType,
+    versioned: bool,
+    start: date | None,
+    end: date | None,
+) -> str:
+    """Rebuild the (date, symbol) keys of an action table that events new since its last build touch.
+
+    New events are those in files that the last build had not seen, and those between its end
+    and this one's. Of the stored events only their symbols are read, of the table only their
+    partitions; other partitions stay where they are. The first build, an earlier end, another
+    start, or event files that are gone without a history of versions rebuild the whole table.
+    A build with nothing new writes nothing. Returns the folder of the builds.
+    """
+    spark, path = lake.spark, lake.path(parts.parts_name(name))
+    files = {file.rsplit("/", 1)[-1]: file for file in events.inputFiles()}
+    now = parts.State({}, frozenset(files), start, end)
+    last = parts.latest_state(lake, name)
+    if last is not None and (last.sources, last.start, last.end) == (now.sources, start, end):
+        return path
+    with scratch_run(spark, lake.path("staging")):
+        if last is None or not _extends(last, now, versioned):
+            rows = build(events, start, end)
+            folders = _write_parts(lake, name, rows, schema)
+        else:
+            touched = _touched(lake, events, day, [files[f] for f in now.sources - last.sources], last, end)
+            held = [r[0] for r in touched.select(versions.part_of(["symbol"])).distinct().collect()]
+            rows = build(_of_keys(events, touched, day), start, end)
+            stored = parts.read_parts(lake, name, schema, last, held)
+            kept = stored.join(touched, ["symbol", "date"], "left_anti")
+            other = {p: folder for p, folder in last.folders.items() if p not in held}
+            rows = rows.select(*schema.names).unionByName(kept.select(*schema.names))
+            folders = other | (_write_parts(lake, name, rows, schema) if held else {})
+        parts.publish(lake, name, replace(now, folders=folders))
+    return path
+
+
+def _extends(last: parts.State, now: parts.State, versioned: bool) -> bool:
+    """Whether a build can start from the last one. Files of a history may be gone: a
+    partition of it is rewritten with every key that it held."""
+    later = now.end is None or now.end >= last.end if last.end else now.end is None
+    return last.start == now.start and later and (versioned or last.sources <= now.sources)
+
+
+def _touched(
+    lake: Lake, events: DataFrame, day: str, fresh: list[str], last: parts.State, end: date | None
+) -> DataFrame:
+    """Keys of the events in files not seen before and of those past the last build's end."""
+    key = [F.col("symbol"), F.col(day).cast("date").alias("date")]
+    keys = []
+    if fresh:
+        keys.append(lake.spark.read.schema(f"symbol string, {day} string").parquet(*fresh).select(*key))
+    if last.end is not None and last.end != end:
+        keys.append(events.select(*key).where(in_range(F.col("date"), last.end + timedelta(days=1), end)))
+    if not keys:
+        return lake.spark.createDataFrame([], "symbol string, date date")
+    return stage(reduce(DataFrame.unionByName, keys).dropna().distinct(), "touched")
+
+
+def _of_keys(events: DataFrame, touched: DataFrame, day: str) -> DataFrame:
+    """Events of some keys. Few symbols are also named to the Parquet reader, which then skips
+    row groups; events are stored sorted by symbol."""
+    symbols = [r[0] for r in touched.select("symbol").distinct().limit(NAMED + 1).collect()]
+    if len(symbols) <= NAMED:
+        events = events.where(F.col("symbol").isin(symbols))
+    dated = events.withColumn("date", F.col(day).cast("date"))
+    return dated.join(touched, ["symbol", "date"], "left_semi").drop("date")
+
+
+def _write_parts(lake: Lake, name: str, rows: DataFrame, schema: T.StructType) -> dict[int, str]:
+    """Write rows below a new folder; the partitions it holds."""
+    folder = parts.new_folder("rows")
+    dealt = rows.select(*schema.names).withColumn(versions.PART, versions.part_of(["symbol"]))
+    dealt = dealt.hint("rebalance", versions.PART).sortWithinPartitions(versions.PART, "symbol", "date")
+    path = lake.path(parts.parts_name(name), folder)
+    dealt.write.partitionBy(versions.PART).parquet(path)
+    found = [c.removeprefix("part=") for c in children(lake.spark, path) if c.startswith("part=")]
+    return {int(p): folder for p in found}
 
 
 def build_corporate_actions_tables(
     lake: Lake, start: date | None = None, end: date | None = None
 ) -> tuple[str, str]:
-    """Rebuild both action tables; without bounds all events are used."""
+    """Bring both action tables up to date; without bounds all events are used."""
     return (
         build_split_ratio_table(lake, start, end),
         build_dividend_cash_table(lake, start, end),
@@ -319,6 +416,7 @@ __all__ = [
     "lay_out_by_symbol",
     "record",
     "record_days",
+    "refresh_actions",
     "replace_universe",
     "unique_bars",
     "update_history",

@@ -3,10 +3,11 @@
 Layout below the root::
 
     bars_1d/year=YYYY/        bars_1min/date=YYYY-MM-DD/    (UTC dates)
-    splits/ dividends/ split_ratios/ cash_dividends/
+    splits/ dividends/
     universe/date=YYYY-MM-DD/  security_master/  ledger/
     bars_1d_by_symbol/buckets-N-.../    daily bars a second time, bucketed by symbol
     <table>_history/part=N/    every version of a table that is updated in place
+    <table>_parts/             builds of an action table (see ``sources.parts``)
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from tickloom import schemas
 from tickloom.functions.scalars import freq_checked, instant, utc_date
 from tickloom.operators import actions, versions
 from tickloom.session import children, exists
+from tickloom.sources import parts
 
 # Partition column of each bar table.
 PARTITION = {"1d": "year", "1min": "date"}
@@ -239,6 +241,12 @@ def load_dividends(lake: Lake, as_of: datetime | date | None = None) -> DataFram
     return _load(lake, "dividends", as_of)
 
 
+def _load_built(lake: Lake, name: str, schema: T.StructType) -> DataFrame:
+    """The newest build of an action table; a plain table where it was built before there were any."""
+    state = parts.latest_state(lake, name)
+    return lake.table(name, schema) if state is None else parts.read_parts(lake, name, schema, state)
+
+
 def load_split_ratio_table(
     lake: Lake,
     start: date | None = None,
@@ -251,7 +259,7 @@ def load_split_ratio_table(
     With ``as_of`` they are built from the events known then, not read from the stored table.
     """
     if as_of is None:
-        table = lake.table("split_ratios", schemas.SPLIT_RATIOS)
+        table = _load_built(lake, "split_ratios", schemas.SPLIT_RATIOS)
     else:
         table = actions.build_split_ratios(load_splits(lake, as_of), start, end)
     return actions.filter_actions(table, start, end, symbols)
@@ -269,7 +277,7 @@ def load_dividend_cash_table(
     With ``as_of`` they are built from the events known then, not read from the stored table.
     """
     if as_of is None:
-        table = lake.table("cash_dividends", schemas.CASH_DIVIDENDS)
+        table = _load_built(lake, "cash_dividends", schemas.CASH_DIVIDENDS)
     else:
         table = actions.build_cash_dividends(load_dividends(lake, as_of), start, end)
     return actions.filter_actions(table, start, end, symbols)
