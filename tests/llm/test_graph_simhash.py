@@ -97,3 +97,29 @@ def test_classes_match_brute_force(spark, monkeypatch, tile):
     assert {r.doc_id: r.fingerprint for r in rows} == {d: f"{brute_print(t or ''):016x}" for d, t in docs}
     kept = simhash.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
+
+
+def test_one_component_of_most_fingerprints(spark):
+    """A chain through 2,000 values: each differs from the next by one bit, the ends by very many."""
+    rng = random.Random(9)
+    value, chain = rng.getrandbits(64), []
+    while len(set(chain)) < 2000:
+        chain.append(value)
+        value ^= 1 << rng.randrange(64)
+    alone = [rng.getrandbits(64) for _ in range(50)]
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in {*chain, *alone}]
+    got = simhash.fingerprint_groups(spark.createDataFrame(signed, "fp long")).groupBy("root").count().collect()
+    assert sorted(r["count"] for r in got) == [1] * 50 + [len(set(chain))]
+
+
+def test_a_hot_component_is_joined_over_an_exchange_of_its_own(spark):
+    """Between the aggregate by root and the join lies an exchange, which Spark may split."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "c")], "doc_id long, text string")
+        classes = simhash.simhash_classes(docs)
+        plan = classes._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(xxhash64(root" in plan
+        assert {r.doc_id: r.component_id for r in classes.collect()} == {1: 1, 2: 1, 3: 3}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -247,6 +247,8 @@ def simhash_classes(
     least = prints.groupBy("fp").agg(F.min("id").alias("least"))
     grouped = least.join(roots, "fp")
     named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    # dealt anew, so that the join on root has its own exchange: a component of most fingerprints can be split
+    named = named.repartition(F.xxhash64("root"))
     by_print = grouped.select("fp", "root").join(named, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select(
         F.col("id").alias(id_col),
