@@ -11,7 +11,7 @@ from tickloom.operators import actions, panel
 from tickloom.plans import jobs
 from tickloom.sinks import lake as sink
 from tickloom.sources import lake as src
-from tickloom.sources import parts
+from tickloom.sources import parts, raw
 from tickloom.sources.lake import Lake
 
 
@@ -182,3 +182,27 @@ def test_a_matrix_of_50_000_symbols(spark):
     got = {r[0].second: r[1] for r in matrix.collect()}
     for k in range(3):
         assert got[k] == [None if (3 * i + k) % 7 == 3 else float(3 * i + k) for i in range(n)]
+
+
+def test_a_window_lists_its_own_folders(spark, lake, monkeypatch):
+    root = f"{lake.root}/raw"
+    names = ["2022/12/2022-12-30", "2023/12/2023-12-29", "2024/01/2024-01-02", "2024/01/2024-01-03/2024-01-03",
+             "2024/02/2024-02-01", "2024/notes/2024-01-05", "date=2024-01-04/part-0", "date=2024-03-01/part-0",
+             "2024-01-08", "more/2024-01-09"]
+    for name in names:
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}.csv.gz", "w") as out:
+            out.write("x")
+    listed = []
+    monkeypatch.setattr(raw, "children", lambda s, p, f=raw.children: (listed.append(p), f(s, p))[1])
+    first, last = date(2024, 1, 1), date(2024, 1, 31)
+    found = [f.removeprefix(root + "/") for f in raw.window_folders(spark, root, first, last)]
+    assert sorted(found) == ["2024-01-08.csv.gz", "2024/01", "2024/notes", "date=2024-01-04", "more"]
+    assert listed == [root, f"{root}/2024"]
+    whole = raw.list_files(spark, root).where(F.col("date").between(first, last))
+    window = raw.list_files(spark, root, start=first, end=last)
+    assert sorted(window.collect()) == sorted(whole.collect()) and window.count() == 6
+    assert raw.list_files(spark, root, start=date(2020, 1, 1), end=date(2020, 2, 1)).count() == 0
+    assert raw.list_files(spark, f"{root}/none", start=first, end=last).count() == 0
+    across = raw.list_files(spark, root, start=date(2022, 12, 1), end=date(2024, 1, 2))
+    assert across.count() == 3

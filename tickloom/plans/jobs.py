@@ -41,9 +41,11 @@ class RawSource:
     prefix: str | None = None
     ext: str = "csv.gz"
 
-    def files(self, lake: Lake, freq: str) -> DataFrame:
+    def files(
+        self, lake: Lake, freq: str, start: date | None = None, end: date | None = None
+    ) -> DataFrame:
         root = raw.raw_root(lake.root, self.vendor, freq, self.prefix)
-        return raw.list_files(lake.spark, root, self.ext)
+        return raw.list_files(lake.spark, root, self.ext, start, end)
 
 
 @dataclass(frozen=True)
@@ -75,7 +77,7 @@ def planned_files(
     """
     days = sessions.sessions(lake.spark, start, end).select("date")
     missing = led.missing_days(days, load_ledger(lake), freq)
-    rows = missing.join(source.files(lake, freq), "date", "left").select("date", "path")
+    rows = missing.join(source.files(lake, freq, start, end), "date", "left").select("date", "path")
     return sorted(((r.date, r.path) for r in rows.collect()), key=lambda r: (r[0], r[1] or ""))
 
 

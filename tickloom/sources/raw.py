@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 from pathlib import PurePosixPath
 
@@ -9,10 +10,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import freq_checked
+from tickloom.functions.scalars import freq_checked, in_range
 from tickloom.operators.merge import with_ingest_order
 from tickloom.operators.normalize import normalize_bars, rename_bars
-from tickloom.session import stage
+from tickloom.session import children, stage
 
 # Dataset folder of each frequency below the vendor's folder.
 DATASETS = {
@@ -64,25 +65,54 @@ def _layout(path: Column, day: Column) -> Column:
     )
 
 
-def list_files(spark: SparkSession, root: str, ext: str = "csv.gz") -> DataFrame:
+def window_folders(spark: SparkSession, root: str, start: date, end: date) -> list[str]:
+    """What below a folder can hold day files of a range.
+
+    Of folders named by year and month, and of names with a date, those of the range; whatever
+    has another name, whole. Only the years and the months of the range's years are listed here.
+    """
+    months = {f"{y}/{m:02d}" for y in range(start.year, end.year + 1) for m in range(1, 13)
+              if (start.year, start.month) <= (y, m) <= (end.year, end.month)}
+    found = []
+    for name in children(spark, root):
+        dates = re.findall(r"\d{4}-\d{2}-\d{2}", name)
+        if re.fullmatch(r"\d{4}", name):
+            if start.year <= int(name) <= end.year:
+                below = [f"{name}/{m}" for m in children(spark, f"{root}/{name}")]
+                found += [b for b in below if b in months or not re.fullmatch(r"\d{4}/\d{2}", b)]
+        elif not dates or start.isoformat() <= dates[-1] <= end.isoformat():
+            found.append(name)
+    return [f"{root}/{name}" for name in found]
+
+
+def list_files(
+    spark: SparkSession,
+    root: str,
+    ext: str = "csv.gz",
+    start: date | None = None,
+    end: date | None = None,
+) -> DataFrame:
     """``(path, length, date)`` of the day files under a folder, contents unread.
 
     Where a day exists in several layouts only the preferred one stays. A missing folder
-    gives an empty listing.
+    gives an empty listing. With ``start`` and ``end`` only days between them are given, and
+    only folders that can hold them are listed: a long history is not walked for one window.
     """
+    roots = [root] if start is None or end is None else window_folders(spark, root, start, end)
     try:
         files = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", f"*.{ext}")
-            .load(root)
+            .load(roots)
             .select("path", "length")
-        )
+        ) if roots else spark.createDataFrame([], _LISTING)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         files = spark.createDataFrame([], _LISTING)
     files = files.withColumn("date", file_day("path")).where(F.col("date").isNotNull())
+    files = files.where(in_range(F.col("date"), start, end))
     files = files.withColumn("_layout", _layout(F.col("path"), F.col("date")))
     best = files.groupBy("date").agg(F.min("_layout").alias("_best"))
     return (
@@ -177,7 +207,7 @@ def fetch_day(
 ) -> DataFrame:
     """Normalised bars of one trading day; a missing file is an error."""
     root = raw_root(lake_root, vendor, freq, prefix)
-    found = list_files(spark, root, ext).where(F.col("date") == F.lit(day)).collect()
+    found = list_files(spark, root, ext, day, day).collect()
     if not found:
         raise FileNotFoundError(f"no raw file of {day} below {root}")
     return bars_from_files(spark, sorted(r.path for r in found))
