@@ -689,3 +689,11 @@ FROM bars_day WHERE CAST(timestamp AS DATE) IN (
   SELECT date FROM sessions WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31')
   AND CAST(timestamp AS DATE) NOT IN (
   SELECT date FROM ledger WHERE freq = '1d' AND status = 'complete')"""
+
+ORACLES["source_day_files"] = f"""WITH {BARS_1MIN}
+SELECT timestamp, symbol, close, CAST(volume AS DOUBLE) AS volume, n_trades,
+  CAST(timestamp AS DATE) AS trading_day FROM bars_1min"""
+
+ORACLES["source_day_stream"] = f"""WITH {BARS_1MIN}
+SELECT timestamp, symbol, open, high, low, close, close AS vwap,
+  CAST(volume AS DOUBLE) AS volume, n_trades FROM bars_1min"""

@@ -16,6 +16,7 @@ from tickloom.session import scratch_path
 from tickloom.sinks import lake as sink
 from tickloom.sources import lake as src
 from tickloom.sources import raw
+from tickloom.sources.day_files import read_day_files, stream_day_files
 from tickloom.sources.lake import Lake
 from tickloom.sources.reference import read_records
 from tickloom.streaming.ingest import stream_bars
@@ -767,3 +768,28 @@ def universe_days(spark, sf_dir):
     )
     notional = universe.daily_notional(fx.bars_event_days(spark, sf_dir), F.to_date("timestamp"))
     return notional.join(missing, "date", "left_semi")
+
+
+@query
+def source_day_files(spark, sf_dir):
+    """Landed minute files through the data source, one task a file."""
+    root = scratch_path(spark, "day-files")
+    fx.land_raw_files(fx.bars_1min(spark, sf_dir), root)
+    bars = normalize.normalize_bars(read_day_files(spark, root), per=raw.SOURCE_FILE)
+    return bars.select("timestamp", "symbol", "close", "volume", "n_trades", raw.TRADING_DAY)
+
+
+@query
+def source_day_stream(spark, sf_dir):
+    """Bars that a stream over the data source brings to the lake, each day in several files."""
+    lake = _lake(spark, "day-stream")
+    root = raw.raw_root(lake.root, VENDOR, "1min")
+    fx.land_raw_files(fx.bars_1min(spark, sf_dir), root, files_per_day=3)
+    rows = stream_day_files(spark, root, fx.RAW_COLUMNS, settle_seconds=0)
+
+    def take(batch, _):
+        sink.write_bars(lake, normalize.normalize_bars(batch, per=raw.SOURCE_FILE), "1min")
+
+    run = rows.writeStream.foreachBatch(take).trigger(availableNow=True)
+    run.option("checkpointLocation", scratch_path(spark, "offsets")).start().awaitTermination()
+    return src.scan_bars(lake, "1min")
