@@ -218,7 +218,7 @@ def test_base_spans_match_the_plain_patterns(spark, seed):
     texts = dict(docs)
     for r in pii.spans_by_document(df).collect():
         want = base_spans(texts[r.doc_id])
-        assert ",".join(x for x in r.spans.split(",") if x and not x.startswith("secret")) == want
+        assert ",".join(x for x in r.spans.split(",") if x.split(":")[0] in PATTERNS) == want
         assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [want.count(f"{k}:") for k in PATTERNS]
 
