@@ -1,6 +1,7 @@
 """Personal data beyond the base kinds: recall and precision on planted spans, kind by kind."""
 
 import random
+import time
 
 import pytest
 
@@ -115,18 +116,18 @@ def test_a_candidate_without_a_vote_is_not_taken(spark):
     assert pii._posterior(prior, tables, (-1, -1, -1, -1)) == 0.0 and pii._posterior(prior, tables, (1, 1, -1, 1)) > 0.5
 
 
-@pytest.mark.parametrize("text", [
-    "Aa " * 20_000, "a dot " * 15_000, "a@b at " * 10_000, "12 " * 20_000, "AB12 " * 15_000, "key=" * 20_000, "pass: " * 15_000,
-    "(" * 50_000, "0-" * 40_000, "x [dot] " * 10_000, "Mr. Aa" * 10_000,
-])
-def test_long_texts_take_linear_time(spark, text):
-    import time
+LONG = [
+    "Aa " * 8_000, "a dot " * 8_000, "a@b at " * 8_000, "12 " * 8_000, "AB12 " * 8_000, "key=" * 8_000, "pass: " * 8_000, "(" * 9_000,
+    "0-" * 9_000, "x [dot] " * 8_000, "Mr. Aa. " * 8_000, "Ann Lee. " * 8_000, "pwd=ab12; " * 8_000,
+]
 
+
+def test_long_texts_take_linear_time(spark):
     def seconds(times):
-        df = spark.createDataFrame([(1, text * times)], "doc_id long, text string")
+        df = spark.createDataFrame([(i, text * times) for i, text in enumerate(LONG)], "doc_id long, text string")
         start = time.time()
-        assert pii.spans_by_document(df).count() == 1
+        assert pii.spans_by_document(df.repartition(4)).count() == len(LONG)
         return time.time() - start
 
-    seconds(1)
-    assert seconds(4) < 30
+    first = seconds(1)
+    assert seconds(4) < 10 * first + 10

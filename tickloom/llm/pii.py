@@ -147,28 +147,27 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.drop("text")
 
 
+def _with_gaps(texts: Column, gaps: Column) -> Column:
+    """Each match with the gap before it and the first character after it, so that a row need not carry all gaps."""
+    return F.transform(
+        texts,
+        lambda match, i: F.struct(
+            match.alias("match"), F.get(gaps, i).alias("gap"), F.get(gaps, i + 1)["after"].alias("after")
+        ),
+    )
+
+
 def located(found: DataFrame) -> DataFrame:
     """One row per match that passes its check: row, kind, start, end (code points, end exclusive), match, before, after."""
-    each = [
-        found.where(F.size(f"{kind}.found") > 0).select(
-            "row",
-            F.lit(kind).alias("kind"),
-            F.col(f"{kind}.between").alias("between"),
-            F.posexplode(f"{kind}.found").alias("at", "match"),
-        )
-        for kind in KINDS
-    ]
+    each = []
+    for kind in KINDS:
+        texts, gaps = F.col(f"{kind}.found"), F.col(f"{kind}.between")
+        rows = _with_gaps(texts, gaps)
+        each.append(found.where(F.size(texts) > 0).select("row", F.lit(kind).alias("kind"), F.posexplode(rows).alias("at", "one")))
     spans = each[0]
     for more in each[1:]:
         spans = spans.union(more)
-    spans = spans.select(
-        "row",
-        "kind",
-        "at",
-        "match",
-        F.get("between", "at").alias("gap"),
-        F.coalesce(F.get("between", F.col("at") + 1)["after"], F.lit("")).alias("after"),
-    )
+    spans = spans.select("row", "kind", "at", "one.match", "one.gap", F.coalesce("one.after", F.lit("")).alias("after"))
     upto = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap.chars") + F.length("match")).over(upto)
     return (
