@@ -396,7 +396,7 @@ def spans_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = stage(matches(docs, id_col, text_col), "pii-matches")
     spans = stage(free_spans(located(found)), "pii-spans")
     base = F.col("kind").isin(*BASE)
-    candidates = with_votes(spans.where(~base))
+    candidates = stage(with_votes(spans.where(~base)), "pii-votes")
     added = classified(candidates, train(candidates)).select("row", "kind", "start", "end")
     taken = spans.where(base).select("row", "kind", "start", "end").union(added)
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
