@@ -1,3 +1,4 @@
+import math
 from datetime import date, datetime
 
 import pytest
@@ -221,3 +222,16 @@ def test_panel_path_equals_the_general_one(spark, freq):
     got = adjusted_volume_panel(df, r, *args)
     cols = ("timestamp", "symbol", "volume")
     assert table(got, *cols) == table(want, *cols)
+
+
+def test_volume_over_a_factor_that_left_the_range_of_doubles(spark):
+    """Many splits in a row take the factor to zero: volumes are infinite there, as in pandas."""
+    days = [f"2024-01-{i:02d}" for i in range(2, 29)]
+    df = bars(spark, [(x, "A", *[1.0] * 5, 100 if x != days[1] else 0, 1) for x in days])
+    r = ratios(spark, [(d(int(x[-2:])), "A", 2.0**-60) for x in days])
+    want = [math.inf if later > 16 else 100 * 2.0 ** (60 * later) for later in range(26, -1, -1)]
+    want[1] = None  # no volume over a factor of zero
+    whole = adjusted_volume_panel(df, r, "1d", ["A"], datetime(2024, 1, 1), datetime(2024, 1, 31))
+    for got in (whole,):
+        got = [v for _, v in table(got, "timestamp", "volume")]
+        assert [None if math.isnan(v) else v for v in got] == want

@@ -54,6 +54,12 @@ def number(name: str | Column) -> Column:
     return not_nan(c.try_cast("double"))
 
 
+def quotient(a: Column, b: Column) -> Column:
+    """a / b as floating point has it, where ANSI mode would fail: a number over zero is infinite,
+    zero over zero NaN."""
+    return F.when(b == 0, a * F.lit(float("inf"))).otherwise(F.try_divide(a, b))
+
+
 def freq_checked(freq: str) -> str:
     """Only daily and one-minute bars exist."""
     if freq not in ("1d", "1min"):

@@ -28,6 +28,7 @@ from tickloom.functions.scalars import (
     freq_checked,
     instant,
     not_nan,
+    quotient,
     require_utc,
     to_utc,
     utc_date,
@@ -160,10 +161,10 @@ def adjusted_volume_panel(
     volume_field: str = "volume",
     buckets: int | None = None,
 ) -> DataFrame:
-    """Filled volumes / split factor."""
+    """Filled volumes / split factor; over a factor of zero as in ``apply_volume_adjustments``."""
     req = panel_request(freq, symbols, start, end, [volume_field], buckets=buckets)
     panel = _build(bars, req, split_ratios)
-    adjusted = F.col(volume_field) / F.col("split_factor")
+    adjusted = quotient(F.col(volume_field), F.col("split_factor"))
     return panel.select("timestamp", "symbol", adjusted.alias(volume_field))
 
 
