@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import in_range, finite, not_nan, number, require_utc
+from tickloom.functions.scalars import in_range, finite, not_nan, number, quotient, require_utc
 
 KEYS = ["symbol", "date"]
 
@@ -350,11 +350,15 @@ def apply_volume_adjustments(
     volume_field: str | None = None,
     roll_forward: bool = False,
 ) -> DataFrame:
-    """Panel volume / split factor, as ``(timestamp, symbol, <field>)``."""
+    """Panel volume / split factor, as ``(timestamp, symbol, <field>)``.
+
+    A factor of very many splits can leave the range of a double; over a factor of zero a volume is
+    infinite, and no volume NaN, as in pandas.
+    """
     field, volumes = price_field_of(volumes, volume_field), _dealt(volumes, roll_forward)
     days = add_factors(_days(roll_forward, volumes, field, split_ratios), dividends=False)
     return _spread(volumes, days, ["split_factor"]).select(
-        "timestamp", "symbol", (F.col(field) / F.col("split_factor")).alias(field)
+        "timestamp", "symbol", quotient(F.col(field), F.col("split_factor")).alias(field)
     )
 
 
