@@ -94,6 +94,49 @@ def test_template_is_counted_over_all_distinct_pages(spark):
         assert r.text == r.want + ("\nShare a" if r.url == "http://same/" else ""), r
 
 
+def test_root_is_counted_over_all_distinct_pages(spark):
+    """One page in ten has the story, too few to show in a few pages; on the others only the print date varies."""
+
+    def page(i):
+        story = f"Story {i} {'word ' * 400}end" if i % 10 == 0 else "Read on"
+        return f"<body><div class=b><p>{story}</p></div><div class=z>Printed {i}</div></body>", story if i % 10 == 0 else f"Printed {i}"
+
+    rows = [(i, "http://stubs/", *page(i)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, want string")
+    for r in html.with_text(pages).collect():
+        assert r.text == r.want, r.page_id
+
+
+def test_roots_are_those_of_all_pairs(spark):
+    from collections import Counter
+    from itertools import permutations
+    from random import Random
+
+    rng, rows, want = Random(3), [], {}
+    for host in range(12):
+        found = []
+        for i in range(rng.choice([1, 2, 9])):
+            blocks = "".join(
+                f"<div class=c{rng.randrange(3)}><p>{rng.choice(['same', 'other', f'own {i}', f'own {i} ' * 5])}</p></div>"
+                for _ in range(rng.randrange(1, 5))
+            )
+            markup = f"<body>{blocks}<div class=id><p>{'the page ' * 30}{i}</p></div></body>" if host % 2 else f"<body>{blocks}{i}</body>"
+            rows.append((f"h{host}", markup))
+            found.append(html.nodes(html.Page(markup)))
+        distinct = {(layout, article): set(blocks) for layout, article, blocks in found}
+        varied = Counter()
+        for a, b in permutations(distinct.values(), 2):
+            there, keys = {x[1] for x in b}, {x[0] for x in b}
+            for key, path, up, chars in a:
+                if path in there and key not in keys:
+                    varied[up] += chars
+        if varied:
+            want[f"h{host}"] = max(sorted(varied), key=varied.get)
+    pages = spark.createDataFrame(rows, "host string, html string")
+    got = {r.host: r.root for r in html.roots(html.distinct_pages(pages)).collect()}
+    assert got == want and len(want) > 4
+
+
 def test_pages_of_the_test_table(spark):
     import re
     from html import unescape

@@ -9,7 +9,6 @@ from functools import lru_cache
 from hashlib import blake2b
 from html import unescape
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +16,6 @@ from pyspark.sql import types as T
 
 from tickloom.llm.common import apart, importable, stage, whole
 
-#: Distinct pages of a host that are aligned to find its root, about (chosen by a hash of the page; all when fewer).
-SAMPLE = 24
 #: A node is template where its text is the same in this share of the other pages, of which there must be so many.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.8, 4
 #: The layout of a page: the containers outside the main part, down to this depth.
@@ -26,7 +23,7 @@ LAYOUT_DEPTH = 4
 CONTAINERS = frozenset("body div section main article header nav aside footer table form center".split())
 #: A page without an article or main element that has more of its text in common with another is its copy.
 COPY_SHARE = 0.8
-#: Trees deeper than this are extracted but not aligned.
+#: Trees deeper than this are not aligned by `induce`.
 ALIGN_DEPTH = 150
 
 #: Elements whose text is never content (fixed values).
@@ -237,21 +234,22 @@ class Page:
 
 
 class Node:
-    __slots__ = ("label", "text", "children", "path", "size")
+    __slots__ = ("label", "text", "children", "path", "up", "size")
 
-    def __init__(self, label: str, path: str):
-        self.label, self.path, self.text, self.children, self.size = label, path, "", [], 1
+    def __init__(self, label: str, path: str, up: int):
+        self.label, self.path, self.up, self.text, self.children, self.size = label, path, up, "", [], 1
 
 
 def tree(page: Page) -> Node | None:
     """The page's element tree with the text of each block's element; None if it is too deep to align."""
-    nodes, depth = [Node("#", "")], [0]
+    keys = path_keys(page)
+    nodes, depth = [Node("#", "", keys[0])], [0]
     for e in range(1, len(page.parent)):
         up = page.parent[e]
         depth.append(depth[up] + 1)
         if depth[e] > ALIGN_DEPTH:
             return None
-        node = Node(page.label[e], f"{nodes[up].path}/{page.label[e]}".lstrip("/"))
+        node = Node(page.label[e], f"{nodes[up].path}/{page.label[e]}".lstrip("/"), keys[up])
         nodes.append(node)
         nodes[up].children.append(node)
     for e, line in page.blocks:
@@ -289,14 +287,15 @@ def match_trees(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
 
 
 def induce(htmls: list[str]) -> dict:
-    """A host's wrapper: the constant nodes (path and text), and the path below which texts vary most.
+    """The wrapper of a few pages of a host: the constant nodes (path and text), and the key of the path below which
+    texts vary most. The pages of a table go through `wrappers`.
 
     Each page is aligned with the page of middle size. Pages that agree with it in most of their text are its
     copies and say nothing about the template, so they don't count.
     """
     trees = [t for t in (tree(Page(h)) for h in dict.fromkeys(htmls)) if t]
     if len(trees) < 2:
-        return {"constant": [], "root": ""}
+        return {"constant": [], "root": 0}
     chars = lambda t: sum(len(x.text) for x in _walk(t))
     trees.sort(key=lambda t: (chars(t), t.path))
     base = trees.pop(len(trees) // 2)
@@ -311,13 +310,13 @@ def induce(htmls: list[str]) -> dict:
         same.update({id(x): 1 for x in equal})
         for x, y in pairs:
             if x.text and x.text != y.text:
-                varied[x.path.rpartition("/")[0]] += len(x.text)
+                varied[x.up] += len(x.text)
     constant = [
         [x.path, x.text]
         for x in _walk(base)
         if aligned >= CONSTANT_PAGES and same[id(x)] >= CONSTANT_SHARE * aligned
     ]
-    return {"constant": constant, "root": max(sorted(varied), key=varied.get, default="")}
+    return {"constant": constant, "root": max(sorted(varied), key=varied.get, default=0)}
 
 
 def _walk(node: Node):
@@ -332,6 +331,14 @@ def _hash(*parts: int | str) -> int:
     return int.from_bytes(blake2b("\0".join(map(str, parts)).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def path_keys(page: Page) -> list[int]:
+    """A hash of each element's path."""
+    keys = [_hash("")]
+    for e in range(1, len(page.parent)):
+        keys.append(_hash(keys[page.parent[e]], page.label[e]))
+    return keys
+
+
 def main_part(page: Page) -> int:
     """The article or main element with the most text; 0 if there is none."""
     weight = Counter()
@@ -341,16 +348,15 @@ def main_part(page: Page) -> int:
     return max(weight, key=lambda r: (weight[r], -r), default=0)
 
 
-def nodes(page: Page) -> tuple[int, int, list[int]]:
-    """(layout, article, keys): hashes of the page's layout, of the text of its article part, and of the path and text
-    of each block. The article part is the main part; without one, the longest blocks that make up COPY_SHARE of the text.
+def nodes(page: Page) -> tuple[int, int, list[tuple[int, int, int, int]]]:
+    """(layout, article, blocks): hashes of the page's layout and of the text of its article part, and of each block
+    (key, path, up, chars): hashes of its path and text, of its path and of the path above, and the length of its text.
+    The article part is the main part; without one, the longest blocks that make up COPY_SHARE of the text.
     """
-    paths, depth = [_hash("")], [0]
+    paths, depth = path_keys(page), [0]
     shape = set()
     for e in range(1, len(page.parent)):
-        up = page.parent[e]
-        paths.append(_hash(paths[up], page.label[e]))
-        depth.append(depth[up] + 1)
+        depth.append(depth[page.parent[e]] + 1)
         if depth[e] <= LAYOUT_DEPTH and page.tag[e] in CONTAINERS and page.region[e] in (0, e):
             shape.add(paths[e])
     chosen = main_part(page)
@@ -363,24 +369,32 @@ def nodes(page: Page) -> tuple[int, int, list[int]]:
                 break
             part.append(line)
             left -= len(line)
-    return _hash(*sorted(shape)), _hash(*part), [_hash(paths[e], line) for e, line in page.blocks]
+    blocks = [(_hash(paths[e], line), paths[e], paths[max(page.parent[e], 0)], len(line)) for e, line in page.blocks]
+    return _hash(*sorted(shape)), _hash(*part), blocks
+
+
+def _below(page: Page, path: int) -> list[bool]:
+    """Whether each element has this path or lies below one that has."""
+    below = []
+    for e, key in enumerate(path_keys(page)):
+        below.append(key == path or e > 0 and below[page.parent[e]])
+    return below
 
 
 def main_text(html: str, wrapper: dict) -> str:
     """The varying blocks of the main part: an article or main element, else the wrapper's root, else all content."""
     page = Page(html)
     if layouts := wrapper.get("layouts"):
-        layout, _, keys = nodes(page)
+        layout, _, found = nodes(page)
         fixed = layouts.get("", frozenset()) | layouts.get(str(layout), frozenset())
-        page.blocks = [b for b, key in zip(page.blocks, keys) if key not in fixed]
+        page.blocks = [b for b, (key, *_) in zip(page.blocks, found) if key not in fixed]
     chosen = main_part(page)
     blocks = [b for b in page.blocks if page.region[b[0]] == chosen] if chosen else page.blocks
-    constant, root, paths = wrapper["constant"], wrapper["root"], {}
-    if constant or root and not chosen:
-        paths = {e: page.path(e) for e in {e for e, _ in blocks}}
+    constant, root = wrapper["constant"], wrapper["root"]
     if not chosen and root:
-        inside = [b for b in blocks if f"{paths[b[0]]}/".startswith(f"{root}/")]
-        blocks = inside or blocks
+        below = _below(page, root)
+        blocks = [b for b in blocks if below[b[0]]] or blocks
+    paths = {e: page.path(e) for e in {e for e, _ in blocks}} if constant else {}
     return "\n".join(line for e, line in blocks if not constant or (paths[e], line) not in constant)
 
 
@@ -389,23 +403,45 @@ def _wrapper(text: str | None) -> dict:
     got = json.loads(text) if text else {}
     lines = {(path, line) for path, node in got.get("constant", ()) for line in node.split("\n")}
     layouts = {layout: frozenset(keys) for layout, keys in (got.get("layouts") or {}).items()}
-    return {"constant": lines, "root": got.get("root", ""), "layouts": layouts}
+    return {"constant": lines, "root": got.get("root", 0), "layouts": layouts}
 
 
+_BLOCK = T.StructType(
+    [
+        T.StructField("key", T.LongType()),
+        T.StructField("path", T.LongType()),
+        T.StructField("up", T.LongType()),
+        T.StructField("chars", T.LongType()),
+        #: Whether it is the page's first block of its path.
+        T.StructField("first", T.BooleanType()),
+    ]
+)
 _NODES = T.StructType(
     [
         T.StructField("layout", T.LongType()),
         T.StructField("article", T.LongType()),
-        T.StructField("keys", T.ArrayType(T.LongType())),
+        T.StructField("blocks", T.ArrayType(_BLOCK)),
     ]
 )
+_ARROW_BLOCK = pa.struct(
+    [("key", pa.int64()), ("path", pa.int64()), ("up", pa.int64()), ("chars", pa.int64()), ("first", pa.bool_())]
+)
+_ARROW_NODES = pa.struct([("layout", pa.int64()), ("article", pa.int64()), ("blocks", pa.list_(_ARROW_BLOCK))])
+
+
+def _node_row(html: str) -> dict:
+    """The page's nodes as one row; a text that its path holds more than once counts as one block."""
+    layout, article, blocks = nodes(Page(html))
+    paths, rows = set(), []
+    for key, path, up, chars in dict.fromkeys(blocks):
+        rows.append({"key": key, "path": path, "up": up, "chars": chars, "first": path not in paths})
+        paths.add(path)
+    return {"layout": layout, "article": article, "blocks": rows}
 
 
 @F.arrow_udf(_NODES)
 def _nodes(htmls: pa.Array) -> pa.Array:
-    found = [nodes(Page(h.as_py() or "")) for h in htmls]
-    kind = pa.struct([("layout", pa.int64()), ("article", pa.int64()), ("keys", pa.list_(pa.int64()))])
-    return pa.array([{"layout": a, "article": b, "keys": c} for a, b, c in found], kind)
+    return pa.array([_node_row(h.as_py() or "") for h in htmls], _ARROW_NODES)
 
 
 @F.arrow_udf(T.StringType())
@@ -418,16 +454,20 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
 
 
-def constants(rows: DataFrame) -> DataFrame:
+def distinct_pages(rows: DataFrame) -> DataFrame:
+    """(host, layout, blocks), staged: pages of a layout with the same article part are copies and count as one."""
+    found = rows.select("host", F.xxhash64("html").alias("draw"), _nodes("html").alias("n"))
+    found = found.select("host", "n.layout", "n.article", F.struct("draw", "n.blocks").alias("page"))
+    distinct = found.groupBy("host", "layout", "article").agg(F.min("page").alias("page"))
+    return stage(distinct.select("host", "layout", "page.blocks"), "page-nodes")
+
+
+def constants(distinct: DataFrame) -> DataFrame:
     """(host, layouts): for each layout, and under an empty name for the host as a whole, the keys of its constant nodes.
 
-    Counted over all pages; pages of a layout with the same article part are copies and count as one.
+    Counted over all distinct pages.
     """
-    found = rows.select("host", F.xxhash64("html").alias("draw"), _nodes("html").alias("n"))
-    found = found.select("host", "n.layout", "n.article", F.struct("draw", F.array_distinct("n.keys").alias("keys")).alias("page"))
-    distinct = found.groupBy("host", "layout", "article").agg(F.min("page").alias("page"))
-    distinct = stage(distinct.select("host", "layout", "page.keys"), "page-nodes")
-    keys = distinct.select("host", "layout", F.explode("keys").alias("key"))
+    keys = distinct.select("host", "layout", F.explode("blocks.key").alias("key"))
     counts = keys.groupBy("host", "layout", "key").agg(F.count(F.lit(1)).alias("n"))
     sizes = distinct.groupBy("host", "layout").agg(F.count(F.lit(1)).alias("pages"))
     of_all = lambda x, *key: x.groupBy("host", *key).agg(F.sum(x.columns[-1]).alias(x.columns[-1]))
@@ -443,22 +483,35 @@ def constants(rows: DataFrame) -> DataFrame:
     return each.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("layout", "keys"))).alias("layouts"))
 
 
+def roots(distinct: DataFrame) -> DataFrame:
+    """(host, root): the key of the path below which texts vary most, over all distinct pages of the host.
+
+    Every page is compared with every other page that has text at the same path: the texts of the one that the other
+    lacks there vary, by their length. No pair is formed: of P pages with a path, n with a text, that is n * (P - n)
+    times its length. Hosts whose texts don't vary have no row; of equal paths the smallest key wins.
+    """
+    blocks = distinct.select("host", F.explode("blocks").alias("b")).select("host", "b.*")
+    texts = blocks.groupBy("host", "key").agg(
+        F.count(F.lit(1)).cast("decimal(38,0)").alias("n"),
+        F.count_if("first").alias("firsts"),
+        *[F.min(c).alias(c) for c in ("path", "up", "chars")],
+    )
+    held = F.col("n") * F.col("chars")
+    paths = texts.groupBy("host", "path").agg(
+        F.min("up").alias("up"),
+        (F.sum("firsts") * F.sum(held) - F.sum(F.col("n") * held)).alias("varied"),
+    )
+    below = paths.groupBy("host", "up").agg(F.sum("varied").alias("varied")).where(F.col("varied") > 0)
+    most = below.groupBy("host").agg(F.min(F.struct((-F.col("varied")).alias("less"), "up")).alias("most"))
+    return most.select("host", F.col("most.up").alias("root"))
+
+
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper): one row per host, its constant nodes counted over all pages, its root from about SAMPLE of them."""
+    """(host, wrapper): one row per host, its constant nodes and its root, both counted over all pages."""
     rows = pages.select(host(F.col(url_col)).alias("host"), whole(html_col).alias("html"))
-    rows = rows.withColumn("same", F.xxhash64("html"))
-    sizes = rows.groupBy("host", "same").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("one").alias("n"))
-    sizes = stage(sizes, "hosts")
-    draw = F.pmod(F.col("same"), F.lit(1 << 50)) / float(1 << 50)
-    sample = rows.join(sizes, "host").where(draw * F.col("n") < SAMPLE).select("host", "same", "html")
-    sample = sample.groupBy("host", "same").agg(F.first("html").alias("html"))
-
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "root": [induce(sorted(group["html"]))["root"]]})
-
-    roots = sample.groupBy("host").applyInPandas(learn, "host string, root string")
-    both = roots.join(constants(rows), "host", "full_outer")
-    return both.select("host", F.to_json(F.struct(F.coalesce("root", F.lit("")).alias("root"), "layouts")).alias("wrapper"))
+    distinct = distinct_pages(rows)
+    both = roots(distinct).join(constants(distinct), "host", "full_outer")
+    return both.select("host", F.to_json(F.struct(F.coalesce("root", F.lit(0)).alias("root"), "layouts")).alias("wrapper"))
 
 
 def with_text(pages: DataFrame, out: str = "text", url_col: str = "url", html_col: str = "html") -> DataFrame:
